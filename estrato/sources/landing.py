@@ -19,9 +19,17 @@ def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
+# Blanks around a text are data; Spark's writer would trim them.
+CSV = {
+    "header": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Header row, optional UTF-8 byte-order mark, empty fields as NULL."""
-    raw = spark.read.schema(_tolerant(schema)).option("header", True).option("mode", "FAILFAST")
+    raw = spark.read.schema(_tolerant(schema)).options(**CSV, mode="FAILFAST")
     return _typed(raw.csv(path), schema)
 
 
@@ -42,7 +50,7 @@ def _date(text: Column) -> Column:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

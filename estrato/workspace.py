@@ -9,8 +9,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Results depend on these.
+RESULT_SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true"}
+
 SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+    **RESULT_SETTINGS,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
