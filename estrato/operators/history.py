@@ -3,24 +3,34 @@
 For a row x the history is every row of the same entity dated at most `days` days earlier
 that comes strictly before x in (day, second, id) order.
 
-The frame is cut into pieces that are cheap to combine: whole days before x's day, taken
-from one small row per (entity, day), and the part of x's own day that precedes it. Each
-piece carries a row count, the sum of the cents and the sum of their squares. All three
-are exact integers, so pieces combine by addition, the result does not depend on
-partitioning, and a history of equal amounts has a deviation of exactly 0.
+The frame is cut in two. The whole days before x's day come from a small stored table with
+one row per (entity, day). The part of x's own day is a running sum over that day. Both
+carry a row count, the sum of the cents and the sum of their squares: exact integers, so
+parts combine by addition, the result does not depend on partitioning, and a history of
+equal amounts has a deviation of exactly 0.
+
+The stored table enters the running sum as opening rows: each day starts with one row that
+holds the totals of the days before it. That takes one shuffle of the data, on
+(entity, day), and no join.
 
 An (entity, day) with more than `hot_rows` rows is split further, by second and, inside a
-hot second, by id range, so no task has to hold one entity's busy day. The list of such
-pairs has at most rows / hot_rows entries, which is what makes it safe to broadcast.
+crowded second, by id range; each piece gets an opening row of its own. So neither a busy
+entity nor its busy day has to fit into one task. The list of such days has at most
+rows / hot_rows entries, which is what makes it safe to broadcast.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from estrato.workspace import freeze
+
 EXACT = "decimal(38,0)"
 
 
+MOMENTS = ["n", "s1", "s2"]
+
+
 def _moments(cents: Column) -> list[Column]:
     return [
         F.count("*").alias("n"),
@@ -29,8 +39,13 @@ def _moments(cents: Column) -> list[Column]:
     ]
 
 
-def _sums(columns: list[str], window, prefix: str) -> dict[str, Column]:
-    return {f"{prefix}{c}": F.coalesce(F.sum(c).over(window).cast(EXACT), F.lit(0)) for c in columns}
+def _sums(window, prefix: str) -> dict[str, Column]:
+    """Sums of the three moments over a window, 0 where it is empty."""
+    kinds = {"n": "bigint", "s1": EXACT, "s2": EXACT}
+    return {
+        f"{prefix}{c}": F.coalesce(F.sum(c).over(window), F.lit(0)).cast(kind)
+        for c, kind in kinds.items()
+    }
 
 
 def _mean(n: Column, s1: Column) -> Column:
@@ -63,8 +78,9 @@ def history_stats(
 ) -> DataFrame:
     """Add count, mean and deviation of the history and the row count of the day.
 
-    Entity, day, second, id and amount must not be NULL; the id is a unique integer. The
-    input is read more than once, so pass a stored table.
+    Entity, day, second, id and amount must not be NULL; seconds are not negative; the id
+    is a unique integer. The input is read twice (more often when days are split), so pass
+    a stored table.
     """
     rows = df.withColumns(
         {
@@ -73,29 +89,50 @@ def history_stats(
             "_cents": (F.col(amount).cast("decimal(18,2)") * 100).cast("decimal(19,0)"),
         }
     )
-    moments = _moments(F.col("_cents"))
-    daily = rows.groupBy(entity, "_day").agg(*moments)
-
-    # Whole days before the row's day: at most `days` small rows per frame.
+    # Days before the row's day: at most `days` small rows per frame.
     trailing = Window.partitionBy(entity).orderBy("_day").rangeBetween(-days, -1)
-    past = daily.withColumns(_sums(["n", "s1", "s2"], trailing, "past_"))
+    daily = rows.groupBy(entity, "_day").agg(*_moments(F.col("_cents")))
+    past = freeze(daily.withColumns(_sums(trailing, "past_")), "history")
+
+    busy = past.filter(F.col("n") > hot_rows)
+    if busy.isEmpty():
+        piece, body = [entity, "_day"], rows
+        openings = _openings(past, piece, {c: F.col(f"past_{c}") for c in MOMENTS})
+    else:
+        piece = [entity, "_day", "_slot", "_block"]
+        body, openings = _split(rows, past, busy, entity, id_col, hot_rows)
+    return _running(df.columns, body, openings, piece, id_col)
+
+
+def _openings(days: DataFrame, piece: list[str], totals: dict[str, Column]) -> DataFrame:
+    """Rows that come first in their piece and hold what precedes it."""
+    return days.select(
+        *piece,
+        F.lit(-1).alias("_sec"),
+        F.col("n").alias("_in_day"),
+        *[c.alias(f"_{name}") for name, c in totals.items()],
+    )
+
 
-    # Busy days, split by second; busy seconds, split by id.
-    hot = daily.filter(F.col("n") > hot_rows).select(entity, "_day", F.lit(True).alias("_hot"))
-    busy = rows.join(F.broadcast(hot), [entity, "_day"])
+def _split(
+    rows: DataFrame, past: DataFrame, busy: DataFrame, entity: str, id_col: str, hot_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Cut busy days into pieces; other days stay one piece each."""
+    hot = F.broadcast(busy.select(entity, "_day", F.lit(True).alias("_hot")))
     span = F.col("hi").cast("decimal(20,0)") - F.col("lo").cast("decimal(20,0)") + 1
-    crowded = (
-        busy.groupBy(entity, "_day", "_sec")
+    pieces = F.ceil(F.col("m") / hot_rows)
+    crowded = freeze(
+        rows.join(hot, [entity, "_day"])
+        .groupBy(entity, "_day", "_sec")
         .agg(F.count("*").alias("m"), F.min(id_col).alias("lo"), F.max(id_col).alias("hi"))
         .filter(F.col("m") > hot_rows)
-        .select(
-            entity, "_day", "_sec", "lo",
-            F.ceil(span / F.ceil(F.col("m") / hot_rows)).cast("decimal(20,0)").alias("width"),
-        )
+        .select(entity, "_day", "_sec", "lo",
+                F.ceil(span / pieces).cast("decimal(20,0)").alias("width")),
+        "crowded",
     )
     offset = F.col(id_col).cast("decimal(20,0)") - F.col("lo").cast("decimal(20,0)")
-    pieced = (
-        rows.join(F.broadcast(hot), [entity, "_day"], "left")
+    body = (
+        rows.join(hot, [entity, "_day"], "left")
         .join(F.broadcast(crowded), [entity, "_day", "_sec"], "left")
         .withColumns(
             {
@@ -105,55 +142,57 @@ def history_stats(
         )
         .drop("_hot", "lo", "width")
     )
-
-    # What precedes each piece: past days, plus earlier pieces of a busy day.
     piece = [entity, "_day", "_slot", "_block"]
     earlier = (
         Window.partitionBy(entity, "_day")
         .orderBy("_slot", "_block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    in_day = (
-        pieced.filter(F.col("_slot") >= 0)
+    before = (
+        body.filter(F.col("_slot") >= 0)
         .groupBy(*piece)
-        .agg(*moments)
-        .withColumns(_sums(["n", "s1", "s2"], earlier, "prev_"))
-        .select(*piece, "prev_n", "prev_s1", "prev_s2")
+        .agg(*_moments(F.col("_cents")))
+        .withColumns(_sums(earlier, "prev_"))
+        .drop(*MOMENTS)
+        .join(busy, [entity, "_day"])
     )
-    whole = past.filter(F.col("n") <= hot_rows).select(
-        entity, "_day", F.lit(-1).alias("_slot"), F.lit(0).cast("bigint").alias("_block"),
-        F.col("n").alias("in_day"), "past_n", "past_s1", "past_s2",
+    opened = _openings(
+        before, piece, {c: F.col(f"past_{c}") + F.col(f"prev_{c}") for c in MOMENTS}
     )
-    split = in_day.join(
-        past.filter(F.col("n") > hot_rows).drop("s1", "s2"), [entity, "_day"]
-    ).select(
-        *piece,
-        F.col("n").alias("in_day"),
-        *[(F.col(f"past_{c}") + F.col(f"prev_{c}")).cast(EXACT).alias(f"past_{c}")
-          for c in ("n", "s1", "s2")],
+    calm = past.filter(F.col("n") <= hot_rows).withColumns(
+        {"_slot": F.lit(-1), "_block": F.lit(0).cast("bigint")}
     )
+    whole = _openings(calm, piece, {c: F.col(f"past_{c}") for c in MOMENTS})
+    return body, whole.unionByName(opened)
+
 
-    # One wide shuffle, on the piece: the join and the running window share it.
-    running = (
+def _running(
+    columns: list[str], body: DataFrame, openings: DataFrame, piece: list[str], id_col: str
+) -> DataFrame:
+    """Running moments before each row, from the piece's opening row on."""
+    both = body.unionByName(openings, allowMissingColumns=True)
+    own = F.col("_cents").cast(EXACT)
+    square = (F.col("_cents") * F.col("_cents")).cast(EXACT)
+    before = (
         Window.partitionBy(*piece)
         .orderBy("_sec", id_col)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    square = (F.col("_cents") * F.col("_cents")).cast(EXACT)
-    scored = pieced.join(whole.unionByName(split), piece).withColumns(
+    summed = both.withColumns(
         {
-            "_n": F.col("past_n") + F.count("*").over(running),
-            "_s1": F.col("past_s1") + F.coalesce(F.sum("_cents").over(running), F.lit(0)),
-            "_s2": F.col("past_s2") + F.coalesce(F.sum(square).over(running), F.lit(0)),
+            "_before_n": F.sum(F.coalesce("_n", F.lit(1).cast("bigint"))).over(before),
+            "_before_s1": F.sum(F.coalesce(F.col("_s1").cast(EXACT), own)).over(before),
+            "_before_s2": F.sum(F.coalesce(F.col("_s2").cast(EXACT), square)).over(before),
+            "_of_day": F.first("_in_day").over(before),
         }
-    )
-    n, s1, s2 = F.col("_n").cast("bigint"), F.col("_s1").cast(EXACT), F.col("_s2").cast(EXACT)
-    return scored.select(
-        *df.columns,
+    ).filter(F.col("_in_day").isNull())
+    n, s1, s2 = F.col("_before_n"), F.col("_before_s1"), F.col("_before_s2")
+    return summed.select(
+        *columns,
         n.alias("movimientos_previos"),
         _mean(n, s1).alias("promedio_historico"),
         _deviation(n, s1, s2).alias("desviacion_historica"),
-        F.col("in_day").cast("bigint").alias("frecuencia_diaria"),
+        F.col("_of_day").alias("frecuencia_diaria"),
     )
 
 
