@@ -14,7 +14,7 @@ from estrato.functions.text import (
     blank_to_null, flag, mask_document, mask_name, matches, normalised, or_default, relabel,
 )
 from estrato.operators.quality import (
-    conformity, existing, latest_by, null_profile, quarantine, rejected_keys,
+    conformity, existing, latest_by, null_profile, quarantine, rejects_by_key,
 )
 from estrato.plans import silver
 
@@ -265,10 +265,5 @@ for _name, _view in (("clientes", "s_cli"), ("productos", "s_prod"), ("sucursale
     "SELECT tipo_error, count(DISTINCT id_registro) AS llaves FROM s_rej_obl GROUP BY ALL",
 )
 def rejected_by_type(d: Data) -> DataFrame:
-    rejects = d.silver("rechazos_obligaciones")
-    keys = rejected_keys(rejects, _OBL).distinct()
-    return (
-        rejects.join(keys, "id_registro")
-        .groupBy("tipo_error")
-        .agg(F.count_distinct("id_registro").alias("llaves"))
-    )
+    typed = rejects_by_key(d.silver("registros_rechazados"), _OBL, d.bronze(_OBL), "id_oblig")
+    return typed.groupBy("tipo_error").agg(F.count_distinct("id_oblig").alias("llaves"))

@@ -23,6 +23,11 @@ def month_of(day: Column) -> Column:
     return F.trunc(day, "MM")
 
 
+def next_month(first: dt.date) -> dt.date:
+    """First day of the following month."""
+    return dt.date(first.year + first.month // 12, first.month % 12 + 1, 1)
+
+
 def month_starts(cutoff: dt.date, months: int = 12) -> list[dt.date]:
     """First days of the last `months` months, the cut-off month included."""
     last = cutoff.year * 12 + cutoff.month - 1

@@ -11,7 +11,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from estrato.functions.dates import month_of
+from estrato.functions.dates import next_month
 
 
 def spine(spark, months: list[dt.date], name: str = "mes_inicio") -> DataFrame:
@@ -25,10 +25,11 @@ def monthly_sums(
     df: DataFrame, entity: str, day: str, value: Column, months: list[dt.date], prefix: str
 ) -> DataFrame:
     """Sum per entity and calendar month; NULL where a month has no rows."""
-    month = month_of(F.col(day))
-    window = (F.col(day) >= F.lit(months[0])) & (month <= F.lit(months[-1]))
+    at = F.col(day)
+    window = (at >= F.lit(months[0])) & (at < F.lit(next_month(months[-1])))
     sums = [
-        F.sum(F.when(month == F.lit(m), value)).alias(f"{prefix}{i}") for i, m in enumerate(months)
+        F.sum(F.when((at >= F.lit(m)) & (at < F.lit(next_month(m))), value)).alias(f"{prefix}{i}")
+        for i, m in enumerate(months)
     ]
     return df.filter(window).groupBy(entity).agg(*sums)
 
@@ -43,13 +44,14 @@ def overlap_sums(
     prefix: str,
 ) -> DataFrame:
     """Sum per entity over every month that the interval [start, end] touches."""
-    first, last = month_of(F.col(start)), F.col(end)
-    touches = (first <= F.lit(months[-1])) & (last >= F.lit(months[0]))
+
+    def touches(first: dt.date, last: dt.date) -> Column:
+        return (F.col(start) < F.lit(next_month(last))) & (F.col(end) >= F.lit(first))
+
     sums = [
-        F.sum(F.when((first <= F.lit(m)) & (last >= F.lit(m)), value)).alias(f"{prefix}{i}")
-        for i, m in enumerate(months)
+        F.sum(F.when(touches(m, m), value)).alias(f"{prefix}{i}") for i, m in enumerate(months)
     ]
-    return df.filter(touches).groupBy(entity).agg(*sums)
+    return df.filter(touches(months[0], months[-1])).groupBy(entity).agg(*sums)
 
 
 def unpivot_months(

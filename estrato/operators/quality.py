@@ -39,8 +39,14 @@ def classify(df: DataFrame, origin: str, key: str, rules: Sequence[Rule]) -> Dat
     ).filter(F.col("tipo_error").isNotNull())
 
 
-def rejected_keys(rejects: DataFrame, origin: str) -> DataFrame:
-    return rejects.filter(F.col("tabla_origen") == origin).select("id_registro")
+def rejects_by_key(rejects: DataFrame, origin: str, df: DataFrame, key: str) -> DataFrame:
+    """Rejects of one table with the stored text turned back into the key's own type.
+
+    Joining on the typed key lets the join share a shuffle with other work on that key.
+    """
+    kind = df.schema[key].dataType
+    mine = rejects.filter(F.col("tabla_origen") == origin)
+    return mine.withColumn(key, F.col("id_registro").try_cast(kind))
 
 
 def quarantine(df: DataFrame, rejects: DataFrame, origin: str, key: str) -> DataFrame:
@@ -49,17 +55,16 @@ def quarantine(df: DataFrame, rejects: DataFrame, origin: str, key: str) -> Data
     The source system logs a NULL key as rejected and still lets it through, because its
     stored text never equals NULL. Here such rows are held back.
     """
-    keyed = df.filter(F.col(key).isNotNull())
-    bad = rejected_keys(rejects, origin)
-    return keyed.join(bad, F.col(key).cast("string") == bad.id_registro, "left_anti")
+    bad = rejects_by_key(rejects, origin, df, key).select(key)
+    return df.filter(F.col(key).isNotNull()).join(bad, key, "left_anti").select(*df.columns)
 
 
 def reject_detail(
     df: DataFrame, rejects: DataFrame, origin: str, key: str, columns: list[str], extra: list[str]
 ) -> DataFrame:
     """Rejects joined back to the columns of the record they came from."""
-    hits = rejects.filter(F.col("tabla_origen") == origin)
-    return df.join(hits, F.col(key).cast("string") == hits.id_registro).select(*columns, *extra)
+    hits = rejects_by_key(rejects, origin, df, key)
+    return df.join(hits, key).select(*columns, *extra)
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

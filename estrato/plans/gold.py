@@ -198,23 +198,35 @@ def _with_client(fact: DataFrame, dim_clients: DataFrame, *columns: str) -> Data
     return fact.join(dim_clients.select("cliente_key", *columns), "cliente_key")
 
 
+def _by_segment(pairs: DataFrame, dim_clients: DataFrame):
+    return _with_client(pairs, dim_clients, "segmento_legible", "ciudad_res").groupBy(
+        "producto_key",
+        F.col("segmento_legible").alias("segmento"),
+        F.col("ciudad_res").alias("ciudad"),
+    )
+
+
 def portfolio_kpi(portfolio: DataFrame, dim_clients: DataFrame, day: dt.date) -> DataFrame:
+    """Totals per product, segment and city.
+
+    Obligations are first summed per client and product. That shrinks a client or product
+    with very many rows before anything is joined, and since each client has one segment
+    and city, the distinct clients are then a plain sum of flags.
+    """
     late = F.col("dias_mora_act") > 0
     balance = F.col("sdo_capital")
     zero = F.lit(0).cast(MONEY)
-    grouped = (
-        _with_client(portfolio, dim_clients, "segmento_legible", "ciudad_res")
-        .groupBy(
-            "producto_key",
-            F.col("segmento_legible").alias("segmento"),
-            F.col("ciudad_res").alias("ciudad"),
-        )
-        .agg(
-            F.count("*").alias("total_obligaciones_activas"),
-            money(F.sum(balance)).alias("cartera_total"),
-            money(F.sum(F.when(late, balance).otherwise(zero))).alias("monto_en_mora"),
-            F.count_distinct(F.when(late, F.col("cliente_key"))).alias("clientes_en_mora"),
-        )
+    pairs = portfolio.groupBy("cliente_key", "producto_key").agg(
+        F.count("*").alias("n"),
+        F.sum(balance).alias("total"),
+        F.sum(F.when(late, balance).otherwise(zero)).alias("vencido"),
+        F.max(F.when(late, 1).otherwise(0)).alias("en_mora"),
+    )
+    grouped = _by_segment(pairs, dim_clients).agg(
+        F.sum("n").alias("total_obligaciones_activas"),
+        money(F.sum("total")).alias("cartera_total"),
+        money(F.sum("vencido")).alias("monto_en_mora"),
+        F.sum("en_mora").alias("clientes_en_mora"),
     )
     return grouped.select(
         F.lit(day).alias("fecha_kpi"),
@@ -226,15 +238,9 @@ def portfolio_kpi(portfolio: DataFrame, dim_clients: DataFrame, day: dt.date) ->
 
 
 def active_accounts(portfolio: DataFrame, dim_clients: DataFrame) -> DataFrame:
-    return (
-        _with_client(portfolio, dim_clients, "segmento_legible", "ciudad_res")
-        .groupBy(
-            "producto_key",
-            F.col("segmento_legible").alias("segmento"),
-            F.col("ciudad_res").alias("ciudad"),
-        )
-        .agg(F.count_distinct("cliente_key").alias("cuentas_activas"))
-    )
+    """Distinct clients per product, segment and city, counted over distinct pairs."""
+    pairs = portfolio.select("cliente_key", "producto_key").distinct()
+    return _by_segment(pairs, dim_clients).agg(F.count("*").alias("cuentas_activas"))
 
 
 def transaction_volume(
@@ -287,12 +293,18 @@ def portfolio_block(portfolio: DataFrame) -> DataFrame:
             F.count_distinct("producto_key").alias("productos_cartera"),
             money(F.sum("sdo_capital")).alias("saldo_total_capital"),
             F.max("dias_mora_act").alias("max_dias_mora"),
-            F.max("clasificacion_regulatoria").alias("clasificacion_riesgo"),
+            # As a number, so that Spark can aggregate by hash; classes are single letters.
+            F.max(F.ascii("clasificacion_regulatoria")).alias("letra"),
         )
-        .withColumn(
-            "estado_mora",
-            band(worst, model.BUCKET_STEPS, model.BUCKET_WORST, zero=model.BUCKET_CURRENT),
+        .withColumns(
+            {
+                "clasificacion_riesgo": F.chr("letra"),
+                "estado_mora": band(
+                    worst, model.BUCKET_STEPS, model.BUCKET_WORST, zero=model.BUCKET_CURRENT
+                ),
+            }
         )
+        .drop("letra")
     )
 
 

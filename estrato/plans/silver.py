@@ -27,6 +27,16 @@ def newest(df: DataFrame, key: str) -> DataFrame:
     return latest_by(df, [key], [F.desc(c) for c in NEWEST_FIRST])
 
 
+def _kept(bronze: DataFrame, rejects: DataFrame, table: model.Table) -> DataFrame:
+    """Newest version of every key that has no rejected version.
+
+    Rejection is by key, so picking the newest version first gives the same rows, and old
+    versions are dropped before the shuffle that both steps share.
+    """
+    keyed = bronze.filter(F.col(table.key).isNotNull())
+    return quarantine(newest(keyed, table.key), rejects, table.name, table.key)
+
+
 def client_rules(as_of: dt.date) -> list[Rule]:
     # Error types and messages of the client rules.
     missing, bad_date = "CAMPO_OBLIGATORIO_NULO", "FECHA_INVALIDA"
@@ -48,7 +58,7 @@ def client_rejects(bronze: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def clients(bronze: DataFrame, rejects: DataFrame, as_of: dt.date) -> DataFrame:
-    valid = newest(quarantine(bronze, rejects, model.CLIENTS.name, "id_cli"), "id_cli")
+    valid = _kept(bronze, rejects, model.CLIENTS)
     first, last = mask_name(F.col("nomb_cli")), mask_name(F.col("apell_cli"))
     document = mask_document(F.col("num_doc"))
     return valid.select(
@@ -144,7 +154,7 @@ def arrears_bucket(days: Column) -> Column:
 
 
 def obligations(bronze: DataFrame, rejects: DataFrame) -> DataFrame:
-    valid = newest(quarantine(bronze, rejects, model.OBLIGATIONS.name, "id_oblig"), "id_oblig")
+    valid = _kept(bronze, rejects, model.OBLIGATIONS)
     return valid.select(
         "id_oblig", "id_cli", "cod_prod",
         *_zeros("vr_aprobado", "vr_desembolsado", "sdo_capital", "vr_cuota"),

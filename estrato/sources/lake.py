@@ -52,9 +52,13 @@ class Lake:
         return (top or 0) + 1
 
     def write_version(self, layer: str, table: str, version: str, df: DataFrame) -> str:
-        """Write a new snapshot next to the one being read; the caller publishes it."""
+        """Write a new snapshot next to the one being read; the caller publishes it.
+
+        Rows are ordered by ingestion time inside each file, so that reading the rows
+        after a mark skips the row groups before it.
+        """
         path = f"{self.path(layer, table)}/lote={version}"
-        df.write.mode("overwrite").parquet(path)
+        df.sortWithinPartitions("fecha_ingesta").write.mode("overwrite").parquet(path)
         return path
 
 

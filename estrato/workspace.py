@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,10 +20,13 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Broadcasting stays Spark's decision, by measured size. The key columns of a product
+    # catalogue can exceed the default limit and are still small for an executor.
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
 }
 
 _local_dirs: dict[str, str] = {}
+_frozen: list[str] = []
 
 
 def build_session(app: str = "estrato", **settings: str) -> SparkSession:
@@ -56,5 +61,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def freeze(df: DataFrame, label: str) -> DataFrame:
     """Write once, read back: a columnar cut of the lineage that outlives executors."""
     path = scratch_path(df.sparkSession, label)
+    _frozen.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete, on leaving the block, the tables that `freeze` wrote inside it.
+
+    Use it where everything built in the block has been written elsewhere.
+    """
+    start = len(_frozen)
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        while len(_frozen) > start:
+            path = jvm.org.apache.hadoop.fs.Path(_frozen.pop())
+            path.getFileSystem(conf).delete(path, True)
