@@ -13,7 +13,7 @@ from estrato.catalog.roles import RUN_TS
 from estrato.operators.increment import (
     daily_report, slice_since, volume_flags, watermarks,
 )
-from estrato.operators.upsert import Batch, action_counts, same_row, upsert
+from estrato.operators.upsert import Batch, DuplicateKeys, action_counts, same_row, upsert
 from estrato.plans import bronze
 from estrato.sources.lake import Lake
 from estrato.workspace import scratch_path
@@ -202,7 +202,7 @@ def run_outcomes(d: Data) -> DataFrame:
     broken = {**good, model.CLIENTS.name: good[model.CLIENTS.name].drop("fecha_ingesta")}
     bronze.export_changes(lake, broken)
     bronze.export_changes(lake, good)
-    log = lake.read(bronze.LOGS, bronze.INGESTION)
+    log = lake.read(bronze.LOGS, bronze.INGESTION)  # two rows per run
     return log.select(
         F.when(F.col("id_log") <= 2, 1).otherwise(2).alias("corrida"),
         "tabla",
@@ -212,6 +212,26 @@ def run_outcomes(d: Data) -> DataFrame:
     )
 
 
+@query(
+    "b9_error_log",
+    """SELECT id_error, 'BRONZE' AS etapa, 'Pipeline principal' AS proceso,
+              if(llaves > 0, 'DuplicateKeys', '') AS tipo_error, 'ERROR' AS estado
+       FROM (SELECT count(*) AS llaves FROM (SELECT id_comision FROM b_com GROUP BY 1
+                                             HAVING count(*) > 1)),
+            (SELECT unnest([cast(1 as bigint), cast(2 as bigint)]) AS id_error)""",
+)
+def error_log(d: Data) -> DataFrame:
+    """Fees come with repeated keys, so their upsert is refused; both attempts are logged."""
+    lake = Lake(d.spark, scratch_path(d.spark, "lake"))
+    for attempt in ("run-1", "run-2"):
+        try:
+            bronze.ingest(lake, model.FEES, d.bronze(model.FEES.name), NEW)
+        except DuplicateKeys as error:
+            bronze.log_error(lake, "BRONZE", "Pipeline principal", error, attempt)
+    log = lake.read(bronze.LOGS, bronze.ERRORS)
+    return log.select("id_error", "etapa", "proceso", "tipo_error", "estado")
+
+
 @query(
     "b10_volume_anomaly",
     _LOG + """, num AS (

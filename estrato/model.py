@@ -82,7 +82,6 @@ INCENTIVES = Table(
 )
 
 TABLES = (CLIENTS, PRODUCTS, BRANCHES, OBLIGATIONS, MOVEMENTS, FEES, INCENTIVES)
-BY_NAME = {t.name: t for t in TABLES}
 
 # Log tables.
 INGESTION_LOG = (

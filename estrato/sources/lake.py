@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from estrato.operators.increment import day_bound, day_parts
+from estrato.workspace import small_frame
 
 
 class Lake:
@@ -15,6 +17,7 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._log_lock = threading.Lock()
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -45,9 +48,20 @@ class Lake:
 
     def append_rows(self, layer: str, table: str, rows: list[tuple], ddl: str) -> None:
         """Append a handful of log rows as one file."""
-        self.append(layer, table, self.spark.createDataFrame(rows, ddl).coalesce(1))
+        self.append(layer, table, small_frame(self.spark, rows, ddl).coalesce(1))
 
-    def next_id(self, layer: str, table: str, column: str, ddl: str) -> int:
+    def log_row(self, table: str, ddl: str, row: tuple) -> int:
+        """Append one row to a log under the next id, which is the first column.
+
+        Logs are written by the driver alone, one row at a time.
+        """
+        with self._log_lock:
+            number = self.next_id("logs", table, ddl)
+            self.append_rows("logs", table, [(number, *row)], ddl)
+        return number
+
+    def next_id(self, layer: str, table: str, ddl: str) -> int:
+        column = ddl.split()[0]
         top = self.read_or_empty(layer, table, ddl).agg(F.max(column)).first()[0]
         return (top or 0) + 1
 

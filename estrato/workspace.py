@@ -6,10 +6,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Results depend on these.
 RESULT_SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true"}
@@ -80,3 +82,31 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
         while len(_frozen) > start:
             path = jvm.org.apache.hadoop.fs.Path(_frozen.pop())
             path.getFileSystem(conf).delete(path, True)
+
+
+def together(spark: SparkSession, tasks: Mapping[str, Callable[[], object]]) -> dict[str, object]:
+    """Submit independent jobs at once, so that small tables fill the gaps of large ones.
+
+    Every task is waited for; the first failure is then raised.
+    """
+    with ThreadPoolExecutor(max_workers=max(len(tasks), 1)) as pool:
+        waiting = {
+            name: pool.submit(inheritable_thread_target(spark)(task))
+            for name, task in tasks.items()
+        }
+    return {name: future.result() for name, future in waiting.items()}
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A handful of driver values as a frame, without starting Python workers."""
+    schema = T.StructType.fromDDL(ddl)
+    frames = [
+        spark.range(0, 1, 1, 1).select(
+            *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]
+        )
+        for row in rows
+    ]
+    whole = frames[0]
+    for frame in frames[1:]:
+        whole = whole.unionByName(frame)
+    return whole
