@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -370,32 +369,3 @@ def customer_360(
         amount("incentivos_12m"),
         amount("cltv_12m"),
     )
-
-
-def build(
-    silver: Mapping[str, DataFrame], fx_rate: Decimal, cutoff: dt.date
-) -> dict[str, DataFrame]:
-    """All Gold frames. Dimensions and facts are stored as part of numbering them."""
-    clients, products = dim_clients(silver["clientes"]), dim_products(silver["productos"])
-    geography = dim_geography(silver["clientes"])
-    channels = dim_channel(silver["movimientos"])
-    transactions = transaction_fact(
-        transaction_rows(silver["movimientos"], clients, products, channels, geography, fx_rate)
-    )
-    portfolio = portfolio_fact(portfolio_rows(silver["obligaciones"], clients, products))
-    profit = profitability(
-        clients, silver["obligaciones"], silver["productos"], silver["comisiones"],
-        silver["incentivos"], cutoff,
-    )
-    return {
-        "dim_clientes": clients,
-        "dim_productos": products,
-        "dim_geografia": geography,
-        "dim_canal": channels,
-        "fact_transacciones": transactions,
-        "fact_cartera": portfolio,
-        "fact_rentabilidad_cliente": profit,
-        "kpi_cartera_diaria": portfolio_kpi(portfolio, clients, cutoff),
-        "reporte_regulatorio": regulatory_report(portfolio, transactions, clients, geography),
-        "vista_cliente_360": customer_360(clients, portfolio, transactions, profit),
-    }

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -239,27 +238,6 @@ def movements(valid: DataFrame, days: int = 30, hot_rows: int = 1_000_000) -> Da
     )
 
 
-def build(bronze: Mapping[str, DataFrame], as_of: dt.date) -> dict[str, DataFrame]:
-    """All Silver frames, lazily, keyed by Silver name (plus the reject tables)."""
-    b = {t.short: bronze[t.name] for t in model.TABLES}
-    bad_clients = client_rejects(b["clientes"], as_of)
-    cli = clients(b["clientes"], bad_clients, as_of)
-    prod = products(b["productos"])
-    bad_obligations = obligation_rejects(b["obligaciones"], cli, prod)
-    rejects = bad_clients.unionByName(bad_obligations)
-    return {
-        "registros_rechazados": rejects,
-        "clientes": cli,
-        "productos": prod,
-        "sucursales": branches(b["sucursales"]),
-        "obligaciones": obligations(b["obligaciones"], bad_obligations),
-        "comisiones": fees(b["comisiones"], cli, prod),
-        "incentivos": incentives(b["incentivos"], cli, prod),
-        "movimientos": movements(valid_movements(b["movimientos"], cli, prod)),
-        "obligaciones_rechazadas": rejected_obligations(b["obligaciones"], bad_obligations),
-    }
-
-
 def _defaults(*columns: str) -> list[Column]:
     return [or_default(F.col(c)).alias(c) for c in columns]
 
