@@ -4,10 +4,27 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 OK, NO_CHANGES, ERROR = "OK", "SIN_CAMBIOS", "ERROR"
 
+# Spark cannot use Parquet statistics of zone-less timestamps, so stored tables carry the
+# ingestion time a second time, as a whole number it can use.
+MICROS = "_ingesta_us"
+DAY_MICROS = 86_400_000_000
+
+
+def micros(ts: Column) -> Column:
+    """Microseconds since 1970 of a zone-less timestamp, whatever the session time zone."""
+    clock = F.hour(ts) * 3600 + F.minute(ts) * 60
+    seconds = F.date_part(F.lit("SECOND"), ts).cast("decimal(8,6)")
+    rest = clock.cast("bigint") * 1_000_000 + (seconds * 1_000_000).cast("bigint")
+    return F.unix_date(ts.cast("date")).cast("bigint") * DAY_MICROS + rest
+
+
+def mark_micros(mark: dt.datetime) -> int:
+    return (mark - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+
 
 def watermarks(log: DataFrame) -> DataFrame:
     """Last mark of each table, failed runs ignored. One pass over the log."""
@@ -20,11 +37,15 @@ def watermarks(log: DataFrame) -> DataFrame:
 def slice_since(df: DataFrame, ts_col: str, mark: dt.datetime | None) -> DataFrame:
     """Rows ingested after the mark; everything when there is no mark yet.
 
-    The mark is compared as a literal, so the test reaches the Parquet scan.
+    The mark is compared as a literal. Where the table carries the time as a number, that
+    is compared too, and the scan skips the row groups before the mark.
     """
     if mark is None:
         return df
-    return df.filter(F.col(ts_col) > F.lit(mark).cast("timestamp_ntz"))
+    newer = F.col(ts_col) > F.lit(mark).cast("timestamp_ntz")
+    if MICROS in df.columns:
+        newer = newer & (F.col(MICROS) > mark_micros(mark))
+    return df.filter(newer)
 
 
 def day_bound(mark: dt.datetime | None):

@@ -7,7 +7,7 @@ import threading
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from estrato.operators.increment import day_bound, day_parts
+from estrato.operators.increment import MICROS, day_bound, day_parts, micros
 from estrato.workspace import small_frame
 
 
@@ -72,7 +72,8 @@ class Lake:
         after a mark skips the row groups before it.
         """
         path = f"{self.path(layer, table)}/lote={version}"
-        df.sortWithinPartitions("fecha_ingesta").write.mode("overwrite").parquet(path)
+        timed = df.withColumn(MICROS, micros(F.col("fecha_ingesta")))
+        timed.sortWithinPartitions(MICROS).write.mode("overwrite").parquet(path)
         return path
 
 

@@ -6,7 +6,9 @@ from conftest import rows, write_text_csv
 from pyspark.sql import functions as F
 
 from estrato import model
-from estrato.operators.increment import day_bound, slice_since, volume_flags, watermarks
+from estrato.operators.increment import (
+    day_bound, mark_micros, micros, slice_since, volume_flags, watermarks,
+)
 from estrato.operators.upsert import Batch, DuplicateKeys, upsert, with_audit_columns
 from estrato.plans import bronze
 from estrato.sources import landing
@@ -101,6 +103,40 @@ def test_slice_is_strict_at_microseconds(spark):
     assert slice_since(df, "t", None).count() == 2
 
 
+def test_time_as_a_number(spark):
+    texts = ["1969-12-31 23:59:59.999999", "1970-01-01 00:00:00", "2026-03-29 02:30:15.000001"]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Madrid")  # 02:30 does not exist
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = [r.n for r in df.select(micros(F.col("t").cast("timestamp_ntz")).alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == [mark_micros(dt.datetime.fromisoformat(t)) for t in texts]
+
+
+def test_slice_skips_row_groups(spark, folder):
+    lake, t = Lake(spark, folder), model.BRANCHES
+
+    def branches(first, last):
+        return spark.range(first, last).selectExpr(
+            "cast(id as string) AS cod_suc", "uuid() AS nom_suc", "'x' AS tip_punto",
+            "'x' AS ciudad", "'x' AS depto", "cast(1 as decimal(10,7)) AS latitud",
+            "cast(1 as decimal(10,7)) AS longitud", "1 AS activo")
+
+    first = lake.overwrite("landing", t.name, branches(0, 20_000))
+    bronze.ingest(lake, t, first, B0)
+    spark.conf.set("parquet.block.size", 1 << 14)
+    try:
+        bronze.ingest(lake, t, first.unionByName(branches(20_000, 20_100)), B1)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    new = slice_since(bronze.current(lake, t, timed=True), "fecha_ingesta", T0)
+    assert len(new.collect()) == 100
+    scanned = new._jdf.queryExecution().executedPlan().collectLeaves().head().metrics()
+    assert scanned.apply("numOutputRows").value() < 20_100
+
+
 def test_failed_runs_do_not_move_the_mark(spark):
     log = spark.createDataFrame(
         [(1, "a", "OK", T0), (2, "a", "SIN_CAMBIOS", T0), (3, "a", "ERROR", T1),

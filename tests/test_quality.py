@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from estrato import model
 from estrato.operators.quality import (
-    Rule, classify, conformity, latest_by, null_profile, quarantine, reject_detail,
+    Rule, classify, conformity, existing, latest_by, null_profile, quarantine, reject_detail,
 )
 from estrato.plans import silver
 
@@ -79,6 +79,30 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan.split("Exchange")[-1]
 
 
+def test_hot_client_is_split_in_the_referential_join(spark, folder):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    spark.range(0, 60_000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 7, id % 5000) AS k", "uuid() AS v").write.parquet(f"{folder}/rows")
+    spark.range(5000).toDF("k").write.parquet(f"{folder}/known")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        kept = existing(spark.read.parquet(f"{folder}/rows"),
+                        spark.read.parquet(f"{folder}/known"), "k")
+        assert len(kept.collect()) == 60_000
+        assert "skew=true" in kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_null_profile_and_empty_tables(spark):
     some = spark.createDataFrame([(1, None), (2, "x"), (None, None)], "a int, b string")
     empty = spark.createDataFrame([], "a int")
