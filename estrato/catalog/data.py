@@ -14,11 +14,6 @@ from estrato.workspace import freeze
 _stored: dict[tuple, DataFrame] = {}
 
 
-def forget_stored() -> None:
-    """Make the next query rebuild the layers it needs, as the bench does."""
-    _stored.clear()
-
-
 class Data:
     """Frames over one data folder.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -69,11 +70,12 @@ class Lake:
         """Write a new snapshot next to the one being read; the caller publishes it.
 
         Rows are ordered by ingestion time inside each file, so that reading the rows
-        after a mark skips the row groups before it.
+        after a mark skips the row groups before it. Every attempt has a folder of its own:
+        a repeated batch may be reading the one it wrote before.
         """
-        path = f"{self.path(layer, table)}/lote={version}"
+        path = f"{self.path(layer, table)}/lote={version}-{uuid.uuid4().hex}"
         timed = df.withColumn(MICROS, micros(F.col("fecha_ingesta")))
-        timed.sortWithinPartitions(MICROS).write.mode("overwrite").parquet(path)
+        timed.sortWithinPartitions(MICROS).write.parquet(path)
         return path
 
 

@@ -36,8 +36,8 @@ def start(
     source: str,
     clock: Callable[[], dt.datetime],
 ) -> StreamingQuery:
-    """Upsert every new file. The batch id is derived from the micro-batch number, so a
-    replayed micro-batch rewrites its own snapshot with the same rows."""
+    """Upsert every new file. A replayed micro-batch finds its rows unchanged and publishes
+    a snapshot with the same content."""
 
     def merge(rows: DataFrame, number: int) -> None:
         # Several files may carry the same key; the newest file wins.

@@ -28,7 +28,7 @@ SETTINGS = {
 }
 
 _local_dirs: dict[str, str] = {}
-_frozen: list[str] = []
+_scratch: list[str] = []
 
 
 def build_session(app: str = "estrato", **settings: str) -> SparkSession:
@@ -57,30 +57,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, removed by an enclosing `temporary_tables`."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
 
 
 def freeze(df: DataFrame, label: str) -> DataFrame:
     """Write once, read back: a columnar cut of the lineage that outlives executors."""
     path = scratch_path(df.sparkSession, label)
-    _frozen.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def temporary_tables(spark: SparkSession) -> Iterator[None]:
-    """Delete, on leaving the block, the tables that `freeze` wrote inside it.
+    """Delete, on leaving the block, the scratch tables that were written inside it.
 
     Use it where everything built in the block has been written elsewhere.
     """
-    start = len(_frozen)
+    start = len(_scratch)
     try:
         yield
     finally:
         jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        while len(_frozen) > start:
-            path = jvm.org.apache.hadoop.fs.Path(_frozen.pop())
+        while len(_scratch) > start:
+            path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
             path.getFileSystem(conf).delete(path, True)
 
 

@@ -10,7 +10,7 @@ from estrato.operators.increment import (
     day_bound, mark_micros, micros, slice_since, volume_flags, watermarks,
 )
 from estrato.operators.upsert import Batch, DuplicateKeys, upsert, with_audit_columns
-from estrato.plans import bronze
+from estrato.plans import bronze, summary
 from estrato.sources import landing
 from estrato.sources.lake import Lake, append_daily, read_daily
 
@@ -204,6 +204,9 @@ def test_error_log_cuts_long_messages(spark, folder):
     assert [(r.id_error, r.etapa, r.tipo_error, r.estado) for r in got] == [
         (1, "GOLD", "ValueError", "ERROR"), (2, "SILVER", "KeyError", "ERROR")]
     assert len(got[0].mensaje_error) == 2000
+    bronze.log_error(lake, "GOLD", "Otro", ValueError("y"), "run")
+    newest = summary.last_error(lake.read(bronze.LOGS, bronze.ERRORS), "ValueError")
+    assert rows(newest) == [("ERROR", "Otro", "ValueError")]
 
 
 def test_failed_batch_leaves_the_snapshot(spark, folder):
@@ -219,6 +222,25 @@ def test_failed_batch_leaves_the_snapshot(spark, folder):
     assert [r.id_lote for r in bronze.current(lake, t).collect()] == ["b1"]
 
 
+def test_published_batch_can_be_repeated(spark, folder):
+    """A crash after publishing: the batch comes again and reads its own snapshot."""
+    lake, t = Lake(spark, folder), model.BRANCHES
+    one = spark.createDataFrame([("S1", "a", None, None, None, None, None, 1)], t.schema)
+    assert rows(bronze.ingest(lake, t, one, B0)) == [("INSERT", 1)]
+    assert rows(bronze.ingest(lake, t, one, B0)) == [("SAME", 1)]
+    assert bronze.current(lake, t).count() == 1
+
+
+def test_volume_alerts_look_at_exports_with_rows(spark):
+    log = spark.createDataFrame(
+        [(1, "a", "OK", 100), (2, "a", "SIN_CAMBIOS", 0), (3, "a", "OK", 99),
+         (4, "b", "OK", 10), (5, "b", "OK", 21), (6, "b", "SIN_CAMBIOS", 0)],
+        "id_log bigint, tabla string, estado string, registros_procesados bigint")
+    got = [(r.tabla, r.registros_procesados, r.media_previa)
+           for r in summary.volume_alerts(log).collect()]
+    assert got == [("b", 21, 10.0)]
+
+
 def test_volume_flags(spark):
     log = spark.createDataFrame(
         [(i, "a", n) for i, n in enumerate([100, 100, 100, 201, 100, 49])],

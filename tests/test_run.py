@@ -44,6 +44,7 @@ def test_summaries(done):
     assert first["silver"] == [{
         "recibidos": total, "validos": kept, "rechazados": 2 + 4,
         "calidad_global": M(100 * kept / total).quantize(M("0.01"))}]
+    assert first["anomalias"] == []
     assert first["movimiento"] == [
         {"id_mov": 4, "id_cli": 1, "vr_mov": M("100.01"), "total_alertas": 3}]
     assert first["transaccion"][0]["id_mov"] == 4
@@ -67,6 +68,18 @@ def test_second_run_changes_nothing(done):
     assert [r.id_lote for r in stamps] == ["lote-0"]
 
 
+def test_report_of_the_day(done):
+    lake = done[0]
+    checks = run.report_of_day(lake, dt.date(2026, 3, 10)).collect()
+    got = {(r.elemento, r.estado): r.ejecuciones for r in checks}
+    assert got[("Duplicados en dim_clientes", "PASS")] == 2
+    assert got[("Integridad referencial fact_transacciones", "FAIL")] == 2
+    assert len(got) == 6
+    exports = run.report_of_day(lake, dt.datetime.now(dt.timezone.utc).date())
+    states = {(r.elemento, r.estado) for r in exports.collect() if r.etapa == "BRONZE"}
+    assert len(states) in (0, 14)  # 0 when the tests cross midnight
+
+
 def test_rejects(done):
     lake = done[0]
     got = {(r.tabla_origen, r.id_registro): (r.tipo_error, r.campo_error)
