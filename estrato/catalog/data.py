@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from estrato import model
 from estrato.catalog import roles
 from estrato.plans import gold, silver
-from estrato.workspace import freeze
+from estrato.workspace import freeze, lasting_tables
 
 _stored: dict[tuple, DataFrame] = {}
 
@@ -35,7 +35,8 @@ class Data:
     def stored(self, layer: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         where = (self.spark.sparkContext.applicationId, self.sf_dir, layer, name)
         if where not in _stored:
-            _stored[where] = freeze(make(), f"{layer}-{name}")
+            with lasting_tables():
+                _stored[where] = freeze(make(), f"{layer}-{name}")
         return _stored[where]
 
     def silver(self, name: str) -> DataFrame:

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -22,13 +20,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    # Broadcasting stays Spark's decision, by measured size. The key columns of a product
-    # catalogue can exceed the default limit and are still small for an executor.
-    "spark.sql.autoBroadcastJoinThreshold": "64MB",
 }
 
-_local_dirs: dict[str, str] = {}
-_scratch: list[str] = []
+OWN_DIR = "spark.estrato.dir"
+_block: ContextVar[list[str] | None] = ContextVar("scratch tables of a block", default=None)
 
 
 def build_session(app: str = "estrato", **settings: str) -> SparkSession:
@@ -39,27 +34,20 @@ def build_session(app: str = "estrato", **settings: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by `spark.checkpoint.dir`.
-
-    Only a local master may go without the setting; it gets a scratch folder that
-    is removed when the process ends.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    app = spark.sparkContext.applicationId
-    if named:
-        return f"{named.rstrip('/')}/estrato/{app}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="estrato-")
-        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
-    return _local_dirs[app]
+    """Folder every executor can reach: `spark.checkpoint.dir`, or where that is unset
+    the session's own `spark.estrato.dir`. One of the two is required."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_DIR, None)
+    if not named:
+        raise RuntimeError(f"set spark.checkpoint.dir (or {OWN_DIR}) to a shared folder")
+    return f"{named.rstrip('/')}/estrato/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder, removed by an enclosing `temporary_tables`."""
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    _scratch.append(path)
+    block = _block.get()
+    if block is not None:
+        block.append(path)
     return path
 
 
@@ -70,20 +58,38 @@ def freeze(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store holds it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(conf).delete(there, True)
+
+
 @contextmanager
 def temporary_tables(spark: SparkSession) -> Iterator[None]:
     """Delete, on leaving the block, the scratch tables that were written inside it.
 
-    Use it where everything built in the block has been written elsewhere.
+    Use it where everything built in the block has been written elsewhere. Every block has
+    a list of its own; jobs submitted with `together` belong to the block they come from.
     """
-    start = len(_scratch)
+    block: list[str] = []
+    outer = _block.set(block)
+    try:
+        yield
+    finally:
+        _block.reset(outer)
+        for path in block:
+            remove(spark, path)
+
+
+@contextmanager
+def lasting_tables() -> Iterator[None]:
+    """Scratch tables written inside outlive any enclosing `temporary_tables`."""
+    outer = _block.set(None)
     try:
         yield
     finally:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        while len(_scratch) > start:
-            path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-            path.getFileSystem(conf).delete(path, True)
+        _block.reset(outer)
 
 
 def together(spark: SparkSession, tasks: Mapping[str, Callable[[], object]]) -> dict[str, object]:
@@ -93,7 +99,7 @@ def together(spark: SparkSession, tasks: Mapping[str, Callable[[], object]]) ->
     """
     with ThreadPoolExecutor(max_workers=max(len(tasks), 1)) as pool:
         waiting = {
-            name: pool.submit(inheritable_thread_target(spark)(task))
+            name: pool.submit(copy_context().run, inheritable_thread_target(spark)(task))
             for name, task in tasks.items()
         }
     return {name: future.result() for name, future in waiting.items()}
