@@ -1,23 +1,27 @@
 """N-gram Jaccard join: grouped prefix join over sets of word shingles.
 
-1. Shingles are counted in the whole corpus, and the frequent ones (a table of bounded size)
-   come last in the order of tokens, by frequency; the others are ordered by hash.
-2. Documents with equal sets are one class. A class's prefix holds so many of its first
-   tokens that two classes above the threshold share at least `SHARED` of them (or all they
-   can). Classes with identical prefix and size are one group, with one posting per token.
-3. Round one pairs, in each token's list in order of size, every group with the first one of
-   compatible size, and every class with the first of its group. A bound from the two
-   prefixes drops most pairs; the rest is verified on whole sets.
-4. Round two takes the lists with three or more members, expands groups to classes, and pairs
-   what is not yet connected: first components, then their members. Verified as before.
+Order and prefix. Shingles are 64-bit hashes, ordered by value. Let two sets be linked, U the
+size of their union and D the number of shingles in only one of them. Among the first 2D + 2
+shingles of the union at most D are not shared, so two shared ones are neighbours there, and
+then in both sets. D is at most `spoiled(n)` for a set of n. So the prefix of a set is its
+first 2 * spoiled(n) + 2 shingles, and its tokens are the pairs of neighbours in it: linked
+sets share a token, while unrelated texts that share a frequent phrase hardly ever do.
+
+1. Documents with equal sets are one class. Classes with identical prefix and size are one
+   group, with one posting per token and task.
+2. Round one pairs, in each token's list in order of size, every group with the first one of
+   compatible size, and every class with the first of its group; whole sets decide.
+3. Round two takes the distinct lists, expands groups to classes, and pairs what is not yet
+   connected. Sizes and the distance of two 64-bucket sketches, a lower bound for D, drop
+   pairs before they leave the task; whole sets decide on the rest.
 
 Every linked pair is in some list, so it is verified or already connected when the second
 round ends: the components are exact, yet a group of near copies costs pairs in proportion
 to its size, not to its square.
 
-Sets, classes and tokens are 64-bit hashes (see `words`). Null or empty text, or one without
-words, has an empty set and is linked with nothing. Rows that share a doc_id are judged each
-by its own text. Long texts enter whole; other columns are ignored.
+Null or empty text, or one without words, has an empty set and is linked with nothing. Rows
+that share a doc_id are judged each by its own text. Long texts enter whole; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -29,23 +33,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from estrato.llm.common import Texts, arrow_ready, fields, record
 from estrato.llm.graph import connected
-from estrato.llm.words import Words, shingle_sets
+from estrato.llm.words import Words, mix, shingle_sets
 from estrato.workspace import freeze
 
-SHARED = 3
-
-# The table of frequent shingles: from this count on, and never more rows than this.
-FREQUENT = 8
-FREQUENT_ROWS = 1 << 19
-
-BUCKET_BITS = 10
-LOW_BITS = 32 - BUCKET_BITS
-FLUSH = 1 << 22
+BUCKETS = 64
 
 
 @dataclass(frozen=True)
@@ -56,43 +52,25 @@ class Likeness:
     part: int = 80
     whole: int = 100
 
-    def least(self, n):
-        """Shingles a set of n must share with any set it is linked with."""
-        return -(-self.part * n // self.whole)
-
-    def overlap(self, a, b):
-        """Shingles two sets of these sizes share at least when linked."""
-        return -(-self.part * (a + b) // (self.part + self.whole))
-
-    def shared(self, n):
-        return np.minimum(SHARED, self.least(n))
+    def __post_init__(self):
+        if 4 * self.part < 3 * self.whole:
+            raise ValueError("the prefix is proven for a likeness of 0.75 and more")
 
-    def prefix(self, n):
-        return n - self.least(n) + self.shared(n)
-
-
-@dataclass(frozen=True)
-class Order:
-    """Frequent shingles by the upper half of their hash, with their counts."""
+    def spoiled(self, n: int) -> int:
+        """Shingles that a set of n and one linked with it can hold one without the other."""
+        return (self.whole - self.part) * n // self.part
 
-    codes: np.ndarray
-    counts: np.ndarray
+    def prefix(self, hashes: np.ndarray) -> np.ndarray:
+        """Empty where only equal sets can be linked."""
+        spoiled = self.spoiled(len(hashes))
+        return hashes[: 2 * spoiled + 2 if spoiled else 0]
 
-    def prefix(self, hashes: np.ndarray, size: int) -> np.ndarray:
-        """The first `size` of sorted hashes in the order of tokens."""
-        if not len(self.codes):
-            return hashes[:size]
-        codes = (hashes >> np.uint64(32)).astype(np.uint32)
-        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        hot = self.codes[at] == codes
-        rare = hashes[~hot]
-        if len(rare) >= size:
-            return rare[:size]
-        late = np.argsort(self.counts[at[hot]], kind="stable")
-        return np.concatenate((rare, hashes[hot][late]))[:size]
+    def near(self, difference, n_a, n_b):
+        """Can sets of these sizes that differ in so many shingles be linked?"""
+        return difference * (self.whole + self.part) <= (n_a + n_b) * (self.whole - self.part)
 
 
-# -- frequencies -------------------------------------------------------------------------
+# -- signatures and postings -------------------------------------------------------------
 
 
 def _sets(batch: pa.RecordBatch, like: Likeness) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -101,79 +79,28 @@ def _sets(batch: pa.RecordBatch, like: Likeness) -> Iterator[tuple[int, list[np.
         yield low, shingle_sets(Words(Texts(column.slice(low, 64))), like.words)
 
 
-CODES = pa.schema([("bucket", pa.int32()), ("codes", pa.binary())])
+def _hash64(data: bytes) -> int:
+    return int(np.uint64(xxhash.xxh3_64_intdigest(data)).view(np.int64))
 
 
-def token_order(docs: DataFrame, like: Likeness) -> Order:
-    """Counts every shingle of every document in 2**32 counters.
-
-    Tasks send sorted 32-bit codes, about two bytes a shingle after compression; a counting
-    task holds one bucket of 2**LOW_BITS counters at a time, whatever the input.
-    """
-
-    def packed(codes: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
-        every = np.sort(np.concatenate(codes))
-        edges = np.searchsorted(every, np.arange(1 << BUCKET_BITS, dtype=np.uint64) << LOW_BITS)
-        for bucket, (a, b) in enumerate(zip(edges, [*edges[1:], len(every)])):
-            if b > a:
-                low = every[a:b] & ((1 << LOW_BITS) - 1)
-                high = (low >> 16).astype(np.uint8)
-                yield bucket, high.tobytes() + low.astype(np.uint16).tobytes()
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, held = [], 0
-        for batch in batches:
-            for _, sets in _sets(batch, like):
-                waiting += [(s >> np.uint64(32)).astype(np.uint32) for s in sets]
-                held += sum(map(len, sets))
-            if held > FLUSH:
-                yield record(CODES, list(packed(waiting)))
-                waiting, held = [], 0
-        if held:
-            yield record(CODES, list(packed(waiting)))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters, now = np.zeros(1 << LOW_BITS, np.uint32), None
-
-        def frequent() -> pa.RecordBatch:
-            codes = np.flatnonzero(counters >= FREQUENT)
-            columns = codes + (now << LOW_BITS), counters[codes].astype(np.int64)
-            counters[:] = 0
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["code", "n"])
-
-        for batch in batches:
-            for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if bucket != now:
-                    if now is not None:
-                        yield frequent()
-                    now = bucket
-                n = len(data) // 3
-                low = np.frombuffer(data, np.uint8, n).astype(np.int64) << 16
-                low |= np.frombuffer(data, np.uint16, n, offset=n)
-                first = np.flatnonzero(np.diff(low, prepend=-1))
-                counters[low[first]] += np.diff(first, append=n).astype(np.uint32)
-        if now is not None:
-            yield frequent()
-
-    sent = arrow_ready(docs.select("text")).mapInArrow(send, "bucket int, codes binary")
-    counted = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        count, "code long, n long"
-    )
-    top = counted.orderBy(F.desc("n"), "code").limit(FREQUENT_ROWS).toPandas()
-    top = top.sort_values("code")
-    return Order(top["code"].to_numpy(np.uint32), top["n"].to_numpy(np.int64))
-
-
-# -- classes and groups ------------------------------------------------------------------
+def _class_id(hashes: np.ndarray) -> int:
+    return _hash64(hashes.tobytes())
 
 
-def _class_id(hashes: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())).view(np.int64))
+def _group_id(hashes: np.ndarray, like: Likeness) -> int:
+    """31 bits for prefix and size; groups that collide are one group, which costs pairs but
+    loses none."""
+    prefix = like.prefix(hashes)
+    if not len(prefix):
+        prefix = hashes
+    return xxhash.xxh3_64_intdigest(prefix.tobytes(), seed=len(hashes)) >> 33
 
 
-def signatures(docs: DataFrame, like: Likeness, order: Order) -> DataFrame:
-    """Per row: doc_id, n, class (null for an empty set) and prefix."""
-    schema = T.StructType([docs.schema["doc_id"], *fields("n int, class long, prefix binary")])
+def signatures(docs: DataFrame, like: Likeness) -> DataFrame:
+    """Per row: doc_id, n, class, group and sketch (null for an empty set)."""
+    schema = T.StructType([
+        docs.schema["doc_id"], *fields("n int, class long, group long, sketch binary")
+    ])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,168 +109,176 @@ def signatures(docs: DataFrame, like: Likeness, order: Order) -> DataFrame:
             for low, sets in _sets(batch, like):
                 for i, s in enumerate(sets):
                     if len(s):
-                        prefix = order.prefix(s, int(like.prefix(len(s))))
-                        rows.append((ids[low + i], len(s), _class_id(s), prefix.tobytes()))
+                        sketch = np.bincount((s & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+                        rows.append((
+                            ids[low + i], len(s), _class_id(s), _group_id(s, like),
+                            sketch.astype(np.uint8).tobytes(),
+                        ))
                     else:
-                        rows.append((ids[low + i], 0, None, None))
+                        rows.append((ids[low + i], 0, None, None, None))
             yield record(arrow, rows)
 
     return arrow_ready(docs.select("doc_id", "text")).mapInArrow(run, schema)
 
 
-def with_groups(signed: DataFrame) -> DataFrame:
-    """One row per class: class, doc_id (its least), n, prefix, group (a class), members."""
-    classes = signed.filter("n > 0").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.min("n").alias("n"),
-        F.any_value("prefix").alias("prefix"),
-    ).withColumn("prefix_key", F.md5("prefix"))
-    groups = classes.groupBy("n", "prefix_key").agg(
-        F.min("class").alias("group"), F.count("*").cast("int").alias("members")
-    )
-    return classes.join(groups, ["n", "prefix_key"]).drop("prefix_key")
-
+POSTING = pa.schema([("token", pa.int64()), ("entry", pa.int64())])
 
-# -- candidate pairs ---------------------------------------------------------------------
 
+def postings(docs: DataFrame, like: Likeness) -> DataFrame:
+    """(token, entry) once per group and task; entry is n * 2**31 + group."""
 
-POSTING = pa.schema([
-    ("token", pa.int64()), ("group", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()),
-    ("members", pa.int32()),
-])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            tokens, entries = [], []
+            for _, sets in _sets(batch, like):
+                for s in sets:
+                    prefix = like.prefix(s)
+                    if not len(prefix):
+                        continue
+                    key = _hash64(prefix.tobytes()) ^ len(s)
+                    if key not in seen:
+                        seen.add(key)
+                        tokens.append(mix(prefix[:-1] * np.uint64(3) + prefix[1:]))
+                        entry = len(s) << 31 | _group_id(s, like)
+                        entries.append(np.full(len(prefix) - 1, entry, np.int64))
+            if tokens:
+                columns = np.concatenate(tokens).view(np.int64), np.concatenate(entries)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=POSTING)
 
+    return arrow_ready(docs.select("text")).mapInArrow(run, "token long, entry long")
 
-def postings(classes: DataFrame) -> DataFrame:
-    """One row per token of a group's prefix, with its place there."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prefixes = batch.column("prefix").to_pylist()
-            sizes = np.array([len(p) // 8 for p in prefixes], np.int64)
-            ends = np.cumsum(sizes)
-            tokens = np.frombuffer(b"".join(prefixes), np.int64)
-            columns = [tokens] + [
-                np.repeat(batch.column(c).to_numpy(), sizes) for c in ("group", "n")
-            ]
-            columns += [
-                np.arange(len(tokens), dtype=np.int64) - np.repeat(ends - sizes, sizes),
-                np.repeat(batch.column("members").to_numpy(), sizes),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=f.type) if c.dtype == f.type.to_pandas_dtype()
-                 else pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(columns, POSTING)],
-                schema=POSTING,
-            )
-
-    heads = classes.filter(F.col("class") == F.col("group"))
-    return arrow_ready(heads.select("group", "n", "members", "prefix")).mapInArrow(
-        run, "token long, group long, n int, pos int, members int"
-    )
+# -- round one ---------------------------------------------------------------------------
 
 
-LISTED = pa.schema([
-    ("token", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int32()),
-    ("pos", pa.int32()),
-])
+LISTED = pa.schema([("list", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
 
 def listed(posted: DataFrame, like: Likeness) -> DataFrame:
-    """From each token's list, in order of size: star pairs (a, b; token null), and the
-    postings (token, a, n, pos; b null) of lists with three or more members.
-
-    A list is never held: the centre, the first posting and a count go along with it.
-    """
+    """From tokens shared by several groups: star pairs (null, a, b), and the groups a of
+    each list (list, a, null). Lists of the same groups are put out once per task."""
+
+    def scan(tokens: np.ndarray, entries: np.ndarray, seen: set[int]) -> list[tuple]:
+        fresh = np.ones(len(tokens), bool)
+        fresh[1:] = (tokens[1:] != tokens[:-1]) | (entries[1:] != entries[:-1])
+        tokens, entries = tokens[fresh], entries[fresh]
+        first = np.flatnonzero(np.diff(tokens, prepend=tokens[0] - 1 if len(tokens) else 0))
+        sizes = np.diff(first, append=len(tokens))
+        rows, pairs = [], set()
+        for a, m in zip(first[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
+            entry = entries[a : a + m]
+            key = _hash64(entry.tobytes())
+            if key in seen:
+                continue
+            seen.add(key)
+            n, group = entry >> 31, (entry & (2**31 - 1)).tolist()
+            i = 0
+            while i < m:
+                j = int(np.searchsorted(n, like.whole * n[i] // like.part, "right"))
+                pairs.update((group[i], g) for g in group[i + 1 : j])
+                i = j
+            rows += [(key, g, None) for g in group]
+        return rows + [(None, a, b) for a, b in pairs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, centre, seen, held = None, None, 0, []
+        seen: set[int] = set()
+        tokens = entries = np.empty(0, np.int64)
         for batch in batches:
-            pairs, kept = set(), []
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                token, group, n, pos, members = row
-                if token != last:
-                    last, centre, seen, held = token, (group, n, pos), 0, []
-                elif like.part * n > like.whole * centre[1]:
-                    centre = (group, n, pos)
-                elif _possible(like, centre[1], centre[2], n, pos):
-                    pairs.add((min(centre[0], group), max(centre[0], group)))
-                seen += members
-                if seen >= 3:
-                    kept += [(token, g, None, m, p) for g, m, p in held]
-                    kept.append((token, group, None, n, pos))
-                    held = []
-                else:
-                    held.append((group, n, pos))
-            yield record(LISTED, [(None, a, b, None, None) for a, b in pairs] + kept)
+            tokens = np.concatenate((tokens, batch.column(0).to_numpy()))
+            entries = np.concatenate((entries, batch.column(1).to_numpy()))
+            # The last token's list may go on in the next batch.
+            whole = int(np.searchsorted(tokens, tokens[-1])) if len(tokens) else 0
+            if whole:
+                yield record(LISTED, scan(tokens[:whole], entries[:whole], seen))
+                tokens, entries = tokens[whole:], entries[whole:]
+        if len(tokens):
+            yield record(LISTED, scan(tokens, entries, seen))
+
+    ordered = posted.repartition("token").sortWithinPartitions("token", "entry")
+    return ordered.mapInArrow(run, "list long, a long, b long")
+
+
+def star_pairs(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of classes: the first ones of paired groups, and each with the first of its own."""
+    first = classes.groupBy("group").agg(F.min("class").alias("first"))
+    stars = found.filter(F.col("list").isNull()).select("a", "b").distinct()
+    for end in ("a", "b"):
+        named = first.withColumnsRenamed({"group": end, "first": f"class_{end}"})
+        stars = stars.join(named, end)
+    inside = classes.join(first, "group").filter(F.col("class") != F.col("first"))
+    return stars.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).unionByName(
+        inside.select(F.col("first").alias("a"), F.col("class").alias("b"))
+    )
 
-    ordered = posted.repartition("token").sortWithinPartitions("token", "n", "group")
-    return ordered.mapInArrow(run, "token long, a long, b long, n int, pos int")
 
+# -- round two ---------------------------------------------------------------------------
 
-def _possible(like: Likeness, n_a: int, pos_a: int, n_b: int, pos_b: int) -> bool:
-    """Can sets that share the token at these places still share enough?"""
-    most = min(pos_a, pos_b) + min(n_a - pos_a, n_b - pos_b)
-    return most >= like.overlap(n_a, n_b)
 
+PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-def cross_pairs(lists: DataFrame, classes: DataFrame, roots: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs of classes that share a token and lie in different components.
 
-    Pairs of (token, component) come first and only those that sizes allow are expanded.
-    """
-    members = classes.select("class", F.col("group").alias("a"))
-    rows = lists.join(members, "a").join(
-        roots.withColumnRenamed("node", "class"), "class", "left"
-    ).select("token", "class", "n", "pos", F.coalesce("root", "class").alias("root"))
-    rows = freeze(rows, "jaccard-lists")
-    per = rows.groupBy("token", "root").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    x, y = per.alias("x"), per.alias("y")
-    meeting = x.join(
-        y,
-        (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root"))
-        & (F.col("x.high") * like.whole >= F.col("y.low") * like.part)
-        & (F.col("y.high") * like.whole >= F.col("x.low") * like.part),
-    ).select("x.token", F.col("x.root").alias("root"), F.col("y.root").alias("other"))
-    left = meeting.join(rows, ["token", "root"]).select(
-        "token", "other", F.col("class").alias("a"), F.col("n").alias("n_a"),
-        F.col("pos").alias("pos_a"),
+def cross_pairs(
+    found: DataFrame, classes: DataFrame, roots: DataFrame, like: Likeness
+) -> DataFrame:
+    """Pairs of classes of one list, or of one group, that lie in different components."""
+    lists = found.filter(F.col("list").isNotNull()).select("list", F.col("a").alias("group"))
+    alone = classes.groupBy("group").agg(F.count("*").alias("k")).filter("k > 1")
+    lists = lists.unionByName(alone.select((-F.col("group") - 1).alias("list"), "group")).distinct()
+    rooted = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
+        "group", "class", "n", "sketch", F.coalesce("root", "class").alias("root")
     )
-    right = rows.withColumnsRenamed({"root": "other", "class": "b", "n": "n_b", "pos": "pos_b"})
-    most = F.least("pos_a", "pos_b") + F.least(
-        F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")
+    rows = freeze(
+        lists.join(rooted.select("group", "class", "root"), "group").drop("group"),
+        "jaccard-lists",
     )
-    enough = most * (like.part + like.whole) >= (F.col("n_a") + F.col("n_b")) * like.part
-    return left.join(right, ["token", "other"]).filter(enough).select("a", "b")
-
+    mixed = rows.groupBy("list").agg(
+        F.min("root").alias("low"), F.max("root").alias("high")
+    ).filter("low <> high").select("list")
+    rows = rows.join(mixed, "list").join(rooted.select("class", "n", "sketch"), "class")
+
+    def scan(rows: list[tuple], pairs: set[tuple[int, int]]) -> None:
+        class_, root, n = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
+        sketch = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(-1, BUCKETS)
+        for i in range(len(rows) - 1):
+            j = int(np.searchsorted(n, like.whole * n[i] // like.part, "right"))
+            others = np.flatnonzero(root[i + 1 : j] != root[i]) + i + 1
+            if len(others):
+                apart = sketch[others] - sketch[i]
+                apart = np.minimum(apart, -apart).sum(axis=1, dtype=np.int64)
+                others = others[like.near(apart, n[others], n[i])]
+                pairs.update(
+                    (min(class_[i], o), max(class_[i], o)) for o in class_[others]
+                )
 
-# -- verification ------------------------------------------------------------------------
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            pairs: set[tuple[int, int]] = set()
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and held[0][0] != row[0]:
+                    scan(held, pairs)
+                    held = []
+                held.append(row)
+            yield record(PAIR, list(pairs))
+        pairs = set()
+        if held:
+            scan(held, pairs)
+        yield record(PAIR, list(pairs))
 
+    ordered = rows.select("list", "class", "root", "n", "sketch").repartition(
+        "list"
+    ).sortWithinPartitions("list", "n", "class")
+    return ordered.mapInArrow(run, "a long, b long")
 
-def promising(pairs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs whose prefixes allow enough overlap.
 
-    Of the prefix that ends first in the order of tokens, whatever the other prefix lacks
-    the other set lacks; which one that is does not show, so the weaker bound counts.
-    """
-    least = like.overlap
+# -- verification ------------------------------------------------------------------------
 
-    @F.pandas_udf("boolean")
-    def allowed(p: pd.Series, n: pd.Series, q: pd.Series, m: pd.Series) -> pd.Series:
-        out = np.zeros(len(p), bool)
-        for i, (x, a, y, b) in enumerate(zip(p, n, q, m)):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            enough = common >= min(like.shared(a), like.shared(b))
-            bound = max(a - len(x), b - len(y)) + common
-            out[i] = enough and bound >= least(a, b)
-        return pd.Series(out)
 
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    known = classes.select("class", "n", "prefix")
-    x = known.withColumnsRenamed({"class": "a", "n": "n_a", "prefix": "prefix_a"})
-    y = known.withColumnsRenamed({"class": "b", "n": "n_b", "prefix": "prefix_b"})
-    sized = F.least("n_a", "n_b") * like.whole >= F.greatest("n_a", "n_b") * like.part
-    return pairs.join(x, "a").join(y, "b").filter(sized).filter(
-        allowed("prefix_a", "n_a", "prefix_b", "n_b")
-    ).select("a", "b")
+def distinct_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    ).distinct()
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
@@ -351,7 +286,6 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, like: Likene
 
     Sets are rebuilt from the texts of the documents that stand for a class.
     """
-    pairs = freeze(promising(pairs, classes, like), "jaccard-pairs")
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
     wanted = freeze(classes.select("class", "doc_id").join(wanted, "class"), "jaccard-wanted")
     texts = docs.select("doc_id", "text").join(
@@ -395,16 +329,19 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, like: Likene
 
 def components(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the least doc_id reachable by links)."""
-    signed = freeze(signatures(docs, like, token_order(docs, like)), "jaccard-signatures")
-    classes = freeze(with_groups(signed), "jaccard-classes")
-    found = freeze(listed(postings(classes), like), "jaccard-found")
-    inside = classes.filter(F.col("class") != F.col("group")).select(
-        F.col("group").alias("a"), F.col("class").alias("b")
+    signed = freeze(signatures(docs, like), "jaccard-signatures")
+    classes = freeze(
+        signed.filter("n > 0").groupBy("class").agg(
+            F.min("doc_id").alias("doc_id"), F.min("n").alias("n"),
+            F.min("group").alias("group"), F.any_value("sketch").alias("sketch"),
+        ), "jaccard-classes",
     )
-    stars = found.filter(F.col("token").isNull()).select("a", "b").unionByName(inside)
+    found = freeze(listed(postings(docs, like), like), "jaccard-found")
+    stars = freeze(distinct_pairs(star_pairs(found, classes)), "jaccard-stars")
     links = verified(docs, classes, stars, like)
-    lists = found.filter(F.col("token").isNotNull()).select("token", "a", "n", "pos")
-    rest = verified(docs, classes, cross_pairs(lists, classes, connected(links), like), like)
+    crossing = distinct_pairs(cross_pairs(found, classes, connected(links), like))
+    crossing = freeze(crossing.join(stars, ["a", "b"], "left_anti"), "jaccard-crossing")
+    rest = verified(docs, classes, crossing, like)
     roots = connected(links.unionByName(rest)).withColumnRenamed("node", "class")
     owners = classes.select("class", "doc_id").join(roots, "class").select(
         "class", "root", "doc_id"
@@ -422,5 +359,5 @@ def components(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
 
 def keep_first(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """The rows that come first in their component (by doc_id), with all their columns."""
-    first = components(docs, like).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return docs.join(first.select("doc_id").distinct(), "doc_id", "left_semi")
+    later = components(docs, like).filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(freeze(later, "later-copies"), "doc_id", "left_anti")
