@@ -11,11 +11,12 @@ sets share a token, while unrelated texts that share a frequent phrase hardly ev
    group, with one posting per token and task.
 2. Round one pairs, in each token's list in order of size, every group with the first one of
    compatible size, and every class with the first of its group; whole sets decide.
-3. Round two takes the distinct lists, expands groups to classes, and pairs what is not yet
-   connected. Sizes and the distance of two 64-bucket sketches, a lower bound for D, drop
-   pairs before they leave the task; whole sets decide on the rest.
+3. The next rounds take the distinct lists, with groups expanded to classes, and pair what is
+   not yet connected: round two with the middle one of each list, round three all of it.
+   Sizes and the distance of two sketches of 256 buckets, a lower bound for D, drop pairs
+   before they leave the task; whole sets decide on the rest.
 
-Every linked pair is in some list, so it is verified or already connected when the second
+Every linked pair is in some list, so it is verified or already connected when the last
 round ends: the components are exact, yet a group of near copies costs pairs in proportion
 to its size, not to its square.
 
@@ -41,7 +42,7 @@ from estrato.llm.graph import connected
 from estrato.llm.words import Words, mix, shingle_sets
 from estrato.workspace import freeze
 
-BUCKETS = 64
+BUCKETS = 256
 
 
 @dataclass(frozen=True)
@@ -212,59 +213,98 @@ def star_pairs(found: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-# -- round two ---------------------------------------------------------------------------
+# -- rounds two and three ----------------------------------------------------------------
 
 
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def cross_pairs(
-    found: DataFrame, classes: DataFrame, roots: DataFrame, like: Likeness
-) -> DataFrame:
-    """Pairs of classes of one list, or of one group, that lie in different components."""
+def class_lists(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """(list, group) of all lists; a group of several classes is a list too."""
     lists = found.filter(F.col("list").isNotNull()).select("list", F.col("a").alias("group"))
-    alone = classes.groupBy("group").agg(F.count("*").alias("k")).filter("k > 1")
-    lists = lists.unionByName(alone.select((-F.col("group") - 1).alias("list"), "group")).distinct()
+    several = classes.groupBy("group").agg(F.count("*").alias("k")).filter("k > 1")
+    return lists.unionByName(several.select((-F.col("group") - 1).alias("list"), "group")).distinct()
+
+
+@dataclass(frozen=True)
+class Members:
+    """The classes of one list by size: class, root, n and sketch."""
+
+    classes: np.ndarray
+    roots: np.ndarray
+    sizes: np.ndarray
+    sketches: np.ndarray
+
+    @staticmethod
+    def of(rows: list[tuple]) -> "Members":
+        columns = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
+        sketches = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
+        return Members(*columns, sketches.reshape(-1, BUCKETS))
+
+    def near(self, i: int, others: np.ndarray, like: Likeness) -> set[tuple[int, int]]:
+        """Pairs of member i and those of another root that size and sketch allow."""
+        n, m = self.sizes[others], self.sizes[i]
+        sized = (like.part * np.maximum(n, m) <= like.whole * np.minimum(n, m))
+        others = others[sized & (self.roots[others] != self.roots[i])]
+        pairs = set()
+        for low in range(0, len(others), 4096):
+            some = others[low : low + 4096]
+            apart = self.sketches[some] - self.sketches[i]
+            apart = np.minimum(apart, -apart).sum(axis=1, dtype=np.int64)
+            some = some[like.near(apart, self.sizes[some], self.sizes[i])]
+            c = int(self.classes[i])
+            pairs.update((min(c, int(o)), max(c, int(o))) for o in self.classes[some])
+        return pairs
+
+    def middle(self, like: Likeness) -> set[tuple[int, int]]:
+        """Pairs of all members with the one nearest to the list's mean sketch."""
+        mean = np.zeros(BUCKETS)
+        for low in range(0, len(self.classes), 4096):
+            mean += self.sketches[low : low + 4096].sum(axis=0)
+        mean = (mean / len(self.classes)).round().astype(np.int16)
+        apart = [int(np.abs(s.astype(np.int16) - mean).sum()) for s in self.sketches]
+        return self.near(int(np.argmin(apart)), np.arange(len(self.classes)), like)
+
+    def crossing(self, like: Likeness) -> set[tuple[int, int]]:
+        """Pairs of all members."""
+        pairs: set[tuple[int, int]] = set()
+        for i in range(len(self.classes) - 1):
+            end = np.searchsorted(self.sizes, like.whole * self.sizes[i] // like.part, "right")
+            pairs |= self.near(i, np.arange(i + 1, end), like)
+        return pairs
+
+
+def list_pairs(
+    lists: DataFrame, classes: DataFrame, roots: DataFrame, like: Likeness, all_pairs: bool
+) -> DataFrame:
+    """Pairs of classes of one list that lie in different components."""
     rooted = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
         "group", "class", "n", "sketch", F.coalesce("root", "class").alias("root")
     )
-    rows = freeze(
-        lists.join(rooted.select("group", "class", "root"), "group").drop("group"),
-        "jaccard-lists",
-    )
+    rows = lists.join(rooted.select("group", "class", "root"), "group").drop("group")
     mixed = rows.groupBy("list").agg(
         F.min("root").alias("low"), F.max("root").alias("high")
     ).filter("low <> high").select("list")
     rows = rows.join(mixed, "list").join(rooted.select("class", "n", "sketch"), "class")
 
-    def scan(rows: list[tuple], pairs: set[tuple[int, int]]) -> None:
-        class_, root, n = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
-        sketch = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(-1, BUCKETS)
-        for i in range(len(rows) - 1):
-            j = int(np.searchsorted(n, like.whole * n[i] // like.part, "right"))
-            others = np.flatnonzero(root[i + 1 : j] != root[i]) + i + 1
-            if len(others):
-                apart = sketch[others] - sketch[i]
-                apart = np.minimum(apart, -apart).sum(axis=1, dtype=np.int64)
-                others = others[like.near(apart, n[others], n[i])]
-                pairs.update(
-                    (min(class_[i], o), max(class_[i], o)) for o in class_[others]
-                )
+    def scan(rows: list[tuple]) -> set[tuple[int, int]]:
+        members = Members.of(rows)
+        return members.crossing(like) if all_pairs else members.middle(like)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             pairs: set[tuple[int, int]] = set()
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and held[0][0] != row[0]:
-                    scan(held, pairs)
+                    pairs |= scan(held)
                     held = []
                 held.append(row)
-            yield record(PAIR, list(pairs))
-        pairs = set()
+            yield record(PAIR, list(pairs - seen))
+            seen = pairs
         if held:
-            scan(held, pairs)
-        yield record(PAIR, list(pairs))
+            yield record(PAIR, list(scan(held) - seen))
 
     ordered = rows.select("list", "class", "root", "n", "sketch").repartition(
         "list"
@@ -281,15 +321,14 @@ def distinct_pairs(pairs: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
-    """The linked ones among pairs of classes, by their whole sets.
+def sets_of(docs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
+    """(class, hashes): whole sets, rebuilt from the texts that stand for the classes.
 
-    Sets are rebuilt from the texts of the documents that stand for a class.
+    Both sides grow with the corpus, so neither is ever broadcast.
     """
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    wanted = freeze(classes.select("class", "doc_id").join(wanted, "class"), "jaccard-wanted")
+    wanted = classes.select("class", F.col("doc_id").alias("of")).hint("merge")
     texts = docs.select("doc_id", "text").join(
-        wanted.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of"))
+        wanted, F.col("doc_id").eqNullSafe(F.col("of"))
     ).select("class", "text")
     schema = pa.schema([("class", pa.int64()), ("hashes", pa.binary())])
 
@@ -303,8 +342,11 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, like: Likene
                 ]
             yield record(schema, rows)
 
-    sets = arrow_ready(texts).mapInArrow(run, "class long, hashes binary")
-    sets = freeze(sets, "jaccard-sets")
+    return arrow_ready(texts).mapInArrow(run, "class long, hashes binary")
+
+
+def verified(sets: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
+    """The linked ones among pairs of classes, by their whole sets."""
 
     @F.pandas_udf("boolean")
     def linked(p: pd.Series, q: pd.Series) -> pd.Series:
@@ -338,11 +380,16 @@ def components(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     )
     found = freeze(listed(postings(docs, like), like), "jaccard-found")
     stars = freeze(distinct_pairs(star_pairs(found, classes)), "jaccard-stars")
-    links = verified(docs, classes, stars, like)
-    crossing = distinct_pairs(cross_pairs(found, classes, connected(links), like))
-    crossing = freeze(crossing.join(stars, ["a", "b"], "left_anti"), "jaccard-crossing")
-    rest = verified(docs, classes, crossing, like)
-    roots = connected(links.unionByName(rest)).withColumnRenamed("node", "class")
+    lists = freeze(class_lists(found, classes), "jaccard-lists")
+    listed_ = classes.join(lists.select("group").distinct(), "group", "left_semi")
+    sets = freeze(sets_of(docs, listed_, like), "jaccard-sets")
+    tried, links = stars, verified(sets, stars, like)
+    for all_pairs in (False, True):
+        pairs = list_pairs(lists, classes, connected(links), like, all_pairs)
+        pairs = freeze(distinct_pairs(pairs).join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+        links = links.unionByName(verified(sets, pairs, like))
+        tried = tried.unionByName(pairs)
+    roots = connected(links).withColumnRenamed("node", "class")
     owners = classes.select("class", "doc_id").join(roots, "class").select(
         "class", "root", "doc_id"
     )

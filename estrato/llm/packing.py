@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -127,39 +128,64 @@ def split_even(pieces: list[Piece], tokens: int) -> Iterator[list[Piece]]:
         yield out
 
 
-class WordTokens:
-    """Token ids of texts as little-endian 32-bit bytes, word by word with a bounded memory.
+class WordTokens(dict):
+    """Token ids of texts as little-endian 32-bit bytes, remembered stretch by stretch.
 
     The tokenizer drops white space and no token spans it, so the ids of a text are those of
-    its stretches between blanks; frequent stretches are encoded once a worker.
+    its stretches between blanks. A stretch of letters goes straight to the vocabulary's
+    merges, one that ends in a mark is its stem and the mark, and any other through the
+    whole tokenizer. The memory is bounded; it starts anew when full.
     """
 
-    MOST = 600_000
+    MOST = 800_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.encoder = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        self.merges = self.encoder.model
+
+    def __missing__(self, word: str) -> bytes:
+        if word[-1:] in MARKS and word[:-1].isalpha() and word[:-1].lower().isalpha():
+            ids = self[word[:-1]] + self[word[-1]]
+        else:
+            ids = self._ids(word)
+        self[word] = ids
+        return ids
+
+    def _ids(self, word: str) -> bytes:
+        if word.isalpha() and SIGMA not in word:
+            plain = word.lower() if word.isascii() else normalize("NFC", word).lower()
+            if plain.isalpha():
+                letters = plain if plain.isascii() else "".join([AS_LETTERS[b] for b in plain.encode()])
+                return np.array([t.id for t in self.merges.tokenize(letters)], "<u4").tobytes()
+        ids = self.encoder.encode(word, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
+
+    def encode(self, text: str) -> bytes:
+        if len(self) > self.MOST:
+            self.clear()
         for blank in BLANKS:
-            texts = [t.replace(blank, " ") for t in texts]
-        words = [t.split(" ") for t in texts]
-        new = list({w for text in words for w in text} - self.known.keys())
-        if len(self.known) + len(new) > self.MOST:
-            self.known.clear()
-            new = list({w for text in words for w in text})
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            for w, e in zip(some, self.encoder.encode_batch(some, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, text)) for text in words]
+            text = text.replace(blank, " ")
+        return b"".join(map(self.__getitem__, text.split(" ")))
 
 
 # Blanks that the tokenizer takes as white space; the ones left out stay inside a stretch.
 BLANKS = "\t\n\v\f\r"
+MARKS = (".", ",")
+SIGMA = "\u03a3"  # lower-cased by its place in the word here, never in the tokenizer
+
+
+def _byte_letters() -> list[str]:
+    """The letters that stand for bytes in a byte-level vocabulary: printable Latin-1 for
+    itself, the other bytes in order from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
+AS_LETTERS = _byte_letters()
 _encoders: dict[str, WordTokens] = {}
 
 
@@ -218,9 +244,8 @@ def pack(
             values = list(zip(*(batch.column(c).to_pylist() for c in keys)))
             texts = [t or "" for t in batch.column(text).to_pylist()]
             for low in range(0, len(texts), 64):
-                some = encoder(tokenizer).encode(texts[low : low + 64])
-                for value, ids in zip(values[low : low + 64], some):
-                    tokens[count] = ids + END_ID.to_bytes(4, "little")
+                for value, whole in zip(values[low : low + 64], texts[low : low + 64]):
+                    tokens[count] = encoder(tokenizer).encode(whole) + END_ID.to_bytes(4, "little")
                     keyed[count] = value
                     to_come[count] = len(tokens[count]) // 4
                     add(packer.take(count, to_come[count]))
