@@ -9,16 +9,15 @@ sets share a token, while unrelated texts that share a frequent phrase hardly ev
 
 1. Documents with equal sets are one class. Classes with identical prefix and size are one
    group, with one posting per token and task.
-2. Round one pairs, in each token's list in order of size, every group with the first one of
-   compatible size, and every class with the first of its group; whole sets decide.
-3. The next rounds take the distinct lists, with groups expanded to classes, and pair what is
-   not yet connected: round two with the middle one of each list, round three all of it.
-   Sizes and the distance of two sketches of 256 buckets, a lower bound for D, drop pairs
-   before they leave the task; whole sets decide on the rest.
+2. Tokens of several groups give lists of groups, the same list once per task; groups are
+   expanded to classes there, and a group of several classes is a list too.
+3. Round one pairs the members of a list with its middle one, round two those that are not yet
+   connected. Sizes and the distance of two sketches of 256 buckets, a lower bound for D,
+   drop pairs before they leave the task; whole sets decide on the rest.
 
-Every linked pair is in some list, so it is verified or already connected when the last
-round ends: the components are exact, yet a group of near copies costs pairs in proportion
-to its size, not to its square.
+Every linked pair is in some list, so it is verified or already connected when round two
+ends: the components are exact, yet a group of near copies costs pairs in proportion to its
+size, not to its square.
 
 Null or empty text, or one without words, has an empty set and is linked with nothing. Rows
 that share a doc_id are judged each by its own text. Long texts enter whole; other columns
@@ -150,37 +149,28 @@ def postings(docs: DataFrame, like: Likeness) -> DataFrame:
     return arrow_ready(docs.select("text")).mapInArrow(run, "token long, entry long")
 
 
-# -- round one ---------------------------------------------------------------------------
+# -- lists -------------------------------------------------------------------------------
 
 
-LISTED = pa.schema([("list", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+LISTED = pa.schema([("list", pa.int64()), ("group", pa.int64())])
 
 
-def listed(posted: DataFrame, like: Likeness) -> DataFrame:
-    """From tokens shared by several groups: star pairs (null, a, b), and the groups a of
-    each list (list, a, null). Lists of the same groups are put out once per task."""
+def listed(posted: DataFrame) -> DataFrame:
+    """(list, group) for the tokens that several groups share, each list once per task."""
 
     def scan(tokens: np.ndarray, entries: np.ndarray, seen: set[int]) -> list[tuple]:
         fresh = np.ones(len(tokens), bool)
         fresh[1:] = (tokens[1:] != tokens[:-1]) | (entries[1:] != entries[:-1])
         tokens, entries = tokens[fresh], entries[fresh]
-        first = np.flatnonzero(np.diff(tokens, prepend=tokens[0] - 1 if len(tokens) else 0))
+        first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
         sizes = np.diff(first, append=len(tokens))
-        rows, pairs = [], set()
+        rows = []
         for a, m in zip(first[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
-            entry = entries[a : a + m]
-            key = _hash64(entry.tobytes())
-            if key in seen:
-                continue
-            seen.add(key)
-            n, group = entry >> 31, (entry & (2**31 - 1)).tolist()
-            i = 0
-            while i < m:
-                j = int(np.searchsorted(n, like.whole * n[i] // like.part, "right"))
-                pairs.update((group[i], g) for g in group[i + 1 : j])
-                i = j
-            rows += [(key, g, None) for g in group]
-        return rows + [(None, a, b) for a, b in pairs]
+            key = _hash64(entries[a : a + m].tobytes())
+            if key not in seen:
+                seen.add(key)
+                rows += [(key, g) for g in (entries[a : a + m] & (2**31 - 1)).tolist()]
+        return rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -197,33 +187,21 @@ def listed(posted: DataFrame, like: Likeness) -> DataFrame:
             yield record(LISTED, scan(tokens, entries, seen))
 
     ordered = posted.repartition("token").sortWithinPartitions("token", "entry")
-    return ordered.mapInArrow(run, "list long, a long, b long")
-
-
-def star_pairs(found: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of classes: the first ones of paired groups, and each with the first of its own."""
-    first = classes.groupBy("group").agg(F.min("class").alias("first"))
-    stars = found.filter(F.col("list").isNull()).select("a", "b").distinct()
-    for end in ("a", "b"):
-        named = first.withColumnsRenamed({"group": end, "first": f"class_{end}"})
-        stars = stars.join(named, end)
-    inside = classes.join(first, "group").filter(F.col("class") != F.col("first"))
-    return stars.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).unionByName(
-        inside.select(F.col("first").alias("a"), F.col("class").alias("b"))
-    )
-
-
-# -- rounds two and three ----------------------------------------------------------------
+    return ordered.mapInArrow(run, "list long, group long")
 
 
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def class_lists(found: DataFrame, classes: DataFrame) -> DataFrame:
+def class_lists(docs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
     """(list, group) of all lists; a group of several classes is a list too."""
-    lists = found.filter(F.col("list").isNotNull()).select("list", F.col("a").alias("group"))
     several = classes.groupBy("group").agg(F.count("*").alias("k")).filter("k > 1")
-    return lists.unionByName(several.select((-F.col("group") - 1).alias("list"), "group")).distinct()
+    return listed(postings(docs, like)).unionByName(
+        several.select((-F.col("group") - 1).alias("list"), "group")
+    ).distinct()
+
+
+# -- pairs -------------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
@@ -275,12 +253,16 @@ class Members:
 
 
 def list_pairs(
-    lists: DataFrame, classes: DataFrame, roots: DataFrame, like: Likeness, all_pairs: bool
+    lists: DataFrame, classes: DataFrame, roots: DataFrame | None, like: Likeness
 ) -> DataFrame:
-    """Pairs of classes of one list that lie in different components."""
-    rooted = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
-        "group", "class", "n", "sketch", F.coalesce("root", "class").alias("root")
-    )
+    """Pairs of classes: without roots, of each list's members with its middle one; else of
+    all members that lie in different components."""
+    all_pairs = roots is not None
+    own = F.col("class")
+    if all_pairs:
+        classes = classes.join(roots.withColumnRenamed("node", "class"), "class", "left")
+        own = F.coalesce("root", "class")
+    rooted = classes.select("group", "class", "n", "sketch", own.alias("root"))
     rows = lists.join(rooted.select("group", "class", "root"), "group").drop("group")
     mixed = rows.groupBy("list").agg(
         F.min("root").alias("low"), F.max("root").alias("high")
@@ -378,17 +360,14 @@ def components(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
             F.min("group").alias("group"), F.any_value("sketch").alias("sketch"),
         ), "jaccard-classes",
     )
-    found = freeze(listed(postings(docs, like), like), "jaccard-found")
-    stars = freeze(distinct_pairs(star_pairs(found, classes)), "jaccard-stars")
-    lists = freeze(class_lists(found, classes), "jaccard-lists")
+    lists = freeze(class_lists(docs, classes, like), "jaccard-lists")
     listed_ = classes.join(lists.select("group").distinct(), "group", "left_semi")
     sets = freeze(sets_of(docs, listed_, like), "jaccard-sets")
-    tried, links = stars, verified(sets, stars, like)
-    for all_pairs in (False, True):
-        pairs = list_pairs(lists, classes, connected(links), like, all_pairs)
-        pairs = freeze(distinct_pairs(pairs).join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
-        links = links.unionByName(verified(sets, pairs, like))
-        tried = tried.unionByName(pairs)
+    middle = freeze(distinct_pairs(list_pairs(lists, classes, None, like)), "jaccard-pairs")
+    links = verified(sets, middle, like)
+    crossing = distinct_pairs(list_pairs(lists, classes, connected(links), like))
+    crossing = freeze(crossing.join(middle, ["a", "b"], "left_anti"), "jaccard-pairs")
+    links = links.unionByName(verified(sets, crossing, like))
     roots = connected(links).withColumnRenamed("node", "class")
     owners = classes.select("class", "doc_id").join(roots, "class").select(
         "class", "root", "doc_id"

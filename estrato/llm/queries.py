@@ -183,7 +183,7 @@ fits AS (
   SELECT level, mean, 1 / least(greatest(coalesce(CASE
     WHEN n - squares / n - (k - 1) > 0
     THEN (rates - 2 * mean * bad + n * mean * mean - (k - 1) * mean * (1 - mean))
-      / (mean * (1 - mean) * (n - squares / n - (k - 1))) END, 0), 0.01), 0.9) - 1 AS s
+      / (mean * (1 - mean) * (n - squares / n - (k - 1))) END, 0), 0.01), 0.5) - 1 AS s
   FROM means
 ),
 rs AS (

@@ -79,7 +79,9 @@ def with_owner(hosts: DataFrame) -> DataFrame:
 
 
 def prior(groups: DataFrame) -> Column:
-    """Struct of the mean and the strength of a beta prior fitted to counts `bad` of `n`."""
+    """Struct of the mean and the strength of a beta prior fitted to counts `bad` of `n`.
+
+    The strength is kept between 1 and 99 pages: one label alone never decides."""
     sums = groups.filter("n > 0").agg(
         F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.count("*").alias("groups"),
         F.sum(F.col("n") * F.col("n")).alias("squares"),
@@ -89,9 +91,9 @@ def prior(groups: DataFrame) -> Column:
     mean = (F.col("bad") + 1) / (F.col("n") + 2)
     spread = F.col("rates") - 2 * F.col("mean") * F.col("bad") + F.col("n") * F.col("mean") ** 2
     noise = F.col("mean") * (1 - F.col("mean"))
-    free = F.col("n") - F.col("squares") / F.col("n") - (F.col("groups") - 1)
+    free = F.col("n") - F.try_divide("squares", "n") - (F.col("groups") - 1)
     share = F.when(free > 0, (spread - (F.col("groups") - 1) * noise) / (noise * free))
-    share = F.least(F.greatest(F.coalesce(share, F.lit(0.0)), F.lit(0.01)), F.lit(0.9))
+    share = F.least(F.greatest(F.coalesce(share, F.lit(0.0)), F.lit(0.01)), F.lit(0.5))
     fitted = sums.select(
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in sums.columns]
     ).withColumn("mean", mean)
