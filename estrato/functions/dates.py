@@ -14,9 +14,13 @@ def age_years(born: Column, as_of: dt.date) -> Column:
 
 
 def seconds_of_day(clock: Column) -> Column:
-    """`HH:mm:ss` text to whole seconds; fractions of a second are dropped."""
-    part = lambda start: F.substring(clock, start, 2).cast("int")
-    return part(1) * 3600 + part(4) * 60 + part(7)
+    """`H:m:s` text to whole seconds; fractions of a second are dropped, and a text that is
+    no time of day gives NULL."""
+    parts = F.split(F.trim(clock), ":")
+    hour, minute = (F.get(parts, i).try_cast("int") for i in (0, 1))
+    second = F.substring_index(F.get(parts, 2), ".", 1).try_cast("int")
+    fits = hour.between(0, 23) & minute.between(0, 59) & second.between(0, 59)
+    return F.when((F.size(parts) == 3) & fits, hour * 3600 + minute * 60 + second)
 
 
 def month_of(day: Column) -> Column:

@@ -57,13 +57,16 @@ def _mean(n: Column, s1: Column) -> Column:
 def _deviation(n: Column, s1: Column, s2: Column) -> Column:
     """Sample deviation in money units; NULL below two rows.
 
-    n * s2 - s1^2 is formed in exact integers; beyond 38 digits doubles take over.
+    With s1 = q * n + r the sum of squares about the mean is s2 - q * s1 - q * r - r^2 / n.
+    The integer terms are exact and none exceeds s2, so they fit whenever s2 does.
     """
-    exact = F.try_subtract(F.try_multiply(n.cast(EXACT), s2), F.try_multiply(s1, s1))
-    approx = n.cast("double") * s2.cast("double") - s1.cast("double") * s1.cast("double")
-    spread = F.greatest(F.coalesce(exact.cast("double"), approx), F.lit(0.0))
-    pairs = n.cast("double") * (n.cast("double") - 1.0)
-    return F.when(n >= 2, F.sqrt(spread / F.when(n >= 2, pairs)) / 100.0)
+    count = F.when(n >= 2, n).cast("decimal(12,0)")
+    r = F.pmod(s1.cast("decimal(24,0)"), count).cast("decimal(12,0)")
+    q = ((s1 - r).cast("decimal(24,0)") / count).cast("decimal(19,0)")
+    whole = s2 - (q * s1).cast(EXACT) - (q * r).cast(EXACT)
+    rest = r.cast("double") * r.cast("double") / count.cast("double")
+    spread = F.greatest(whole.cast("double") - rest, F.lit(0.0))
+    return F.sqrt(spread / (count.cast("double") - 1.0)) / 100.0
 
 
 def history_stats(

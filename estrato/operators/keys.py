@@ -9,12 +9,6 @@ from estrato.workspace import freeze
 ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
-def small_key(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """For lists whose length does not grow with the data (places, channels)."""
-    rank = F.row_number().over(Window.orderBy(*order)).cast("bigint")
-    return df.select(rank.alias(name), *df.columns)
-
-
 def dense_key(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Key without a global sort in one task.
 

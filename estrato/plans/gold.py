@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from estrato import model
 from estrato.functions.dates import month_starts
 from estrato.functions.money import MONEY, band, convert, money, percent
-from estrato.operators.keys import dense_key, small_key
+from estrato.operators.keys import dense_key
 from estrato.operators.months import monthly_sums, overlap_sums, unpivot_months
 
 
@@ -30,12 +30,12 @@ def dim_geography(clients: DataFrame) -> DataFrame:
     places = clients.select(
         F.col("ciudad_res").alias("ciudad"), F.col("depto_res").alias("departamento")
     )
-    return small_key(places.dropna().distinct(), ["ciudad", "departamento"], "geografia_key")
+    return dense_key(places.dropna().distinct(), ["ciudad", "departamento"], "geografia_key")
 
 
 def dim_channel(movements: DataFrame) -> DataFrame:
     channels = movements.select("cod_canal").dropna().distinct()
-    return small_key(channels, ["cod_canal"], "canal_key")
+    return dense_key(channels, ["cod_canal"], "canal_key")
 
 
 # Facts --------------------------------------------------------------------------------

@@ -215,9 +215,10 @@ def incentives(bronze: DataFrame, clients: DataFrame, products: DataFrame) -> Da
 def valid_movements(bronze: DataFrame, clients: DataFrame, products: DataFrame) -> DataFrame:
     """Complete, referenced and deduplicated movements, before scoring.
 
-    Scoring reads its input several times, so a full run stores this step first.
+    A clock that cannot be read counts as missing. Scoring reads its input several times, so a full run stores this step first.
     """
     whole = _complete(bronze, "id_mov", "id_cli", "cod_prod", "fec_mov", "hra_mov", "vr_mov")
+    whole = whole.filter(seconds_of_day(F.col("hra_mov")).isNotNull())
     return newest(_referenced(whole, clients, products), "id_mov")
 
 

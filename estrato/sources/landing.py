@@ -24,18 +24,39 @@ CSV = {
     "header": "true",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
+    "quote": '"',
+    "escape": '"',
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header row, optional UTF-8 byte-order mark, empty fields as NULL."""
-    raw = spark.read.schema(_tolerant(schema)).options(**CSV, mode="FAILFAST")
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False
+) -> DataFrame:
+    """Header row, optional UTF-8 byte-order mark, empty fields as NULL.
+
+    Columns go by the names in the header, whatever their order; a missing one is an error,
+    others are left out. Quotes inside a quoted field are doubled. Fields with line breaks
+    need `multiline`, at the price that a file is then read by one task.
+    """
+    options = {**CSV, "multiLine": str(multiline).lower()}
+    header = spark.read.options(**options).csv(path).columns
+    known = {f.name.lower(): f for f in _tolerant(schema)}
+    missing = known.keys() - {name.lstrip("\ufeff").lower() for name in header}
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(sorted(missing))}")
+    text = T.StringType()
+    ordered = T.StructType([
+        known.get(name.lstrip("\ufeff").lower(), T.StructField(name, text)) for name in header
+    ])
+    raw = spark.read.schema(ordered).options(**options, mode="FAILFAST")
     return _typed(raw.csv(path), schema)
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType, lines: bool) -> DataFrame:
-    """`lines=False` reads one array of records per file, which a single task must parse;
-    prefer JSON lines for large inputs. Dates may carry a midnight time part."""
+def read_json(
+    spark: SparkSession, path: str, schema: T.StructType, lines: bool = True
+) -> DataFrame:
+    """JSON lines, as `write_json` writes them. `lines=False` reads one array of records per
+    file, which a single task must parse. Dates may carry a midnight time part."""
     raw = spark.read.schema(_tolerant(schema)).option("multiLine", not lines)
     return _typed(raw.option("mode", "FAILFAST").json(path), schema)
 
@@ -58,8 +79,11 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def read_landing(spark: SparkSession, folder: str, table: Table, fmt: str = "csv") -> DataFrame:
+def read_landing(
+    spark: SparkSession, folder: str, table: Table, fmt: str = "csv", lines: bool = True
+) -> DataFrame:
+    """One landed table; `lines` is the layout of JSON files (see `read_json`)."""
     path = f"{folder}/{table.name}.{fmt}"
     if fmt == "csv":
         return read_csv(spark, path, table.schema)
-    return read_json(spark, path, table.schema, lines=False)
+    return read_json(spark, path, table.schema, lines)
