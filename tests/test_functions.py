@@ -103,3 +103,8 @@ def test_percentages_of_nothing(spark):
     z, one, three = F.col("z"), F.col("one"), F.col("three")
     got = row.select(percent(one, three), percent(one, z, 0), percent(one, z)).first()
     assert list(got) == [M("33.33"), M("0.00"), None]
+
+
+def test_odd_clocks(spark):
+    clocks = ["7:05:00", "", "25:00:00", "noon", "07:05", None]
+    assert values(spark, "string", clocks, seconds_of_day) == [25500] + [None] * 5

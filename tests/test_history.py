@@ -120,3 +120,15 @@ def test_one_shuffle_and_no_join(spark):
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Join" not in plan
+
+
+def test_deviation_of_long_histories_of_large_amounts(spark):
+    big = 9 * 10**14
+    data = [("a", dt.date(2024, 1, 1), i, i, M(big + i % 2)) for i in range(400)]
+    df = spark.createDataFrame(data, "who string, day date, sec int, id bigint, v decimal(18,2)")
+    got = {
+        r.id: r.desviacion_historica
+        for r in history_stats(df, "who", "day", F.col("sec"), "id", "v").collect()
+    }
+    for i in (3, 50, 300, 399):
+        assert got[i] == pytest.approx(statistics.stdev([float(k % 2) for k in range(i)]))

@@ -247,3 +247,19 @@ def test_volume_flags(spark):
         "id_log bigint, tabla string, registros_procesados bigint")
     got = {r.id_log: r.anomalia for r in volume_flags(log, runs=3, ratio=2.0).collect()}
     assert got == {0: 0, 1: 0, 2: 0, 3: 1, 4: 0, 5: 1}
+
+
+def test_csv_columns_go_by_name_and_quotes_are_doubled(spark, folder):
+    from pyspark.sql import types as T
+
+    schema = T.StructType.fromDDL("a string, b int")
+    path = f"{folder}/x.csv"
+    with open(path, "w", encoding="utf-8-sig") as f:
+        f.write('b,a,more\n1,"x ""q"", y",z\n2,,\n')
+    read = landing.read_csv(spark, path, schema)
+    assert {tuple(r) for r in read.collect()} == {('x "q", y', 1), (None, 2)}
+    landing.write_csv(read, f"{folder}/out")
+    again = landing.read_csv(spark, f"{folder}/out", schema)
+    assert {tuple(r) for r in again.collect()} == {('x "q", y', 1), (None, 2)}
+    with pytest.raises(ValueError):
+        landing.read_csv(spark, path, T.StructType.fromDDL("a string, c int"))
