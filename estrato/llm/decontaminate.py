@@ -60,11 +60,14 @@ class Items:
 
     def rare(self, counts: dict[int, int]) -> "Items":
         """With the seeds only that are at most as frequent as their item's median one."""
-        freq = np.array([counts.get(int(s.view(np.int64)), 0) for s in self.seeds], np.int64)
-        keep = np.zeros(len(self.seeds), bool)
-        for item in np.unique(self.owner):
-            own = np.flatnonzero(self.owner == item)
-            keep[own] = freq[own] <= np.sort(freq[own])[(len(own) - 1) // 2]
+        if not len(self.seeds):
+            return self
+        freq = np.array([counts.get(s, 0) for s in self.seeds.view(np.int64).tolist()], np.int64)
+        order = np.lexsort((freq, self.owner))
+        size = np.bincount(self.owner, minlength=len(self.ids))
+        middle = np.cumsum(size) - size + np.maximum(size - 1, 0) // 2
+        median = freq[order][np.minimum(middle, len(freq) - 1)]
+        keep = freq <= median[self.owner]
         return Items(self.ids, self.words, self.seeds[keep], self.owner[keep], self.place[keep])
 
 
