@@ -77,8 +77,8 @@ def gold_counts(d: Data) -> DataFrame:
     "count(*) - count(producto_key) AS productos_sin_relacion, "
     "count(*) - count(canal_key) AS canales_sin_relacion, "
     "count(*) - count(geografia_key) AS geografias_sin_relacion, "
-    "cast(sum(monto_cop) as decimal(18,2)) AS volumen_cop, "
-    "cast(sum(monto_usd) as decimal(18,2)) AS volumen_usd FROM g_tra",
+    "cast(sum(monto_cop) as decimal(38,2)) AS volumen_cop, "
+    "cast(sum(monto_usd) as decimal(38,2)) AS volumen_usd FROM g_tra",
 )
 def transaction_summary(d: Data) -> DataFrame:
     return validate.transaction_summary(d.gold("fact_transacciones"))
@@ -121,7 +121,7 @@ def kpi_rollup(d: Data) -> DataFrame:
 @query(
     "v10_regulatory_rollup",
     "SELECT cast(sum(total_transacciones) as bigint) AS transacciones, "
-    "cast(sum(volumen_transaccional) as decimal(18,2)) AS volumen_total, "
+    "cast(sum(volumen_transaccional) as decimal(38,2)) AS volumen_total, "
     "cast(sum(cuentas_activas) as bigint) AS cuentas_activas FROM g_reg",
 )
 def regulatory_rollup(d: Data) -> DataFrame:

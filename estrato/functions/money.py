@@ -8,12 +8,18 @@ from decimal import Decimal
 from pyspark.sql import Column, functions as F
 
 MONEY = "decimal(18,2)"
+# A total over a whole table grows with the table.
+TOTAL = "decimal(38,2)"
 
 
 def money(value: Column) -> Column:
     return value.cast(MONEY)
 
 
+def total(amount: str) -> Column:
+    return F.sum(F.col(amount).cast(TOTAL))
+
+
 def dec(text: str) -> Column:
     return F.lit(Decimal(text))
 

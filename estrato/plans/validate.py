@@ -8,7 +8,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from estrato.functions.money import money
+from estrato.functions.money import total
 from estrato.operators.checks import Check, duplicates, orphans, run_checks
 from estrato.operators.quality import union_all
 
@@ -38,8 +38,8 @@ def transaction_summary(transactions: DataFrame) -> DataFrame:
         F.count("*").alias("total_transacciones"),
         F.count_if(F.col("ind_sospechoso") == 1).alias("sospechosas"),
         *[F.count_if(F.col(k).isNull()).alias(name) for k, name in missing.items()],
-        money(F.sum("monto_cop")).alias("volumen_cop"),
-        money(F.sum("monto_usd")).alias("volumen_usd"),
+        total("monto_cop").alias("volumen_cop"),
+        total("monto_usd").alias("volumen_usd"),
     )
 
 
@@ -88,7 +88,7 @@ def kpi_summary(kpi: DataFrame) -> DataFrame:
 def regulatory_summary(report: DataFrame) -> DataFrame:
     return report.agg(
         F.sum("total_transacciones").alias("transacciones"),
-        money(F.sum("volumen_transaccional")).alias("volumen_total"),
+        total("volumen_transaccional").alias("volumen_total"),
         F.sum("cuentas_activas").alias("cuentas_activas"),
     )
 

@@ -108,3 +108,12 @@ def test_percentages_of_nothing(spark):
 def test_odd_clocks(spark):
     clocks = ["7:05:00", "", "25:00:00", "noon", "07:05", None]
     assert values(spark, "string", clocks, seconds_of_day) == [25500] + [None] * 5
+
+
+def test_totals_over_a_table_pass_the_width_of_an_amount(spark):
+    from estrato.plans.validate import regulatory_summary
+
+    row = (1, M("9999999999999999.99"), 1)
+    ddl = "total_transacciones bigint, volumen_transaccional decimal(18,2), cuentas_activas bigint"
+    got = regulatory_summary(spark.createDataFrame([row, row], ddl)).first()
+    assert got.volumen_total == M("19999999999999999.98")
