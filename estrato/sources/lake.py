@@ -82,15 +82,19 @@ class Lake:
 def append_daily(df: DataFrame, ts_col: str, path: str, run_id: str) -> dict:
     """Append rows under anio=/mes=/dia=/ejecucion= and return what was written.
 
-    Row count and new mark are observed while writing, so the slice is read once. The run
+    Row count and new mark are observed while writing. The slice is read twice, once for the
+    sample that places the cuts between days, which keeps the number of files small. The run
     id in the path separates runs: a run that is not in the ingestion log is ignored by
     `read_daily`, so a crash before the log row leaves no duplicates.
     """
     seen = Observation()
-    watched = df.observe(
+    # By day, so that a day is in few files; a hash of the row splits the days with many.
+    spread = F.xxhash64(*df.columns)
+    arranged = day_parts(df, ts_col).repartitionByRange("anio", "mes", "dia", spread)
+    watched = arranged.observe(
         seen, F.count("*").alias("rows"), F.max(ts_col).cast("string").alias("mark")
     )
-    parts = day_parts(watched, ts_col).withColumn("ejecucion", F.lit(run_id))
+    parts = watched.withColumn("ejecucion", F.lit(run_id))
     parts.write.mode("append").partitionBy("anio", "mes", "dia", "ejecucion").parquet(path)
     got = seen.get
     mark = got["mark"]

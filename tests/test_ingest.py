@@ -263,3 +263,14 @@ def test_csv_columns_go_by_name_and_quotes_are_doubled(spark, folder):
     assert {tuple(r) for r in again.collect()} == {('x "q", y', 1), (None, 2)}
     with pytest.raises(ValueError):
         landing.read_csv(spark, path, T.StructType.fromDDL("a string, c int"))
+
+
+def test_a_day_is_written_to_few_files(spark, folder):
+    import glob
+
+    rows_ = spark.range(0, 10_000, 1, 8).select(
+        "id", F.timestamp_seconds(F.col("id") % 30 * 86_400).cast("timestamp_ntz").alias("ts"))
+    done = append_daily(rows_, "ts", f"{folder}/days", "r1")
+    assert done["rows"] == 10_000 and len(done["folders"]) == 30
+    files = glob.glob(f"{folder}/days/*/*/*/*/*.parquet")
+    assert len(files) <= 30 + int(spark.conf.get("spark.sql.shuffle.partitions"))
