@@ -305,6 +305,37 @@ def test_leaks_exact_edited_and_none(spark):
     assert rows(decontaminate.keep_clean(docs, bench).select("doc_id")) == [(3,), (4,), (5,), (6,)]
 
 
+def test_edited_copies_are_found_as_by_brute_force(spark):
+    def edited(words, step):
+        """Copies with every step-th word replaced, left out, or followed by a new one."""
+        at = range(step - 1, len(words), step)
+        yield [f"new{i}" if i in at else w for i, w in enumerate(words)]
+        yield [w for i, w in enumerate(words) if i not in at]
+        yield [x for i, w in enumerate(words) for x in ([w, f"new{i}"] if i in at else [w])]
+
+    bench = {i: prose(20 + i, salt=i * 5).split() for i in range(12)}
+    copies = [
+        " ".join([*prose(30, 70).split(), *c, *prose(30, 71).split()])
+        for words in bench.values() for step in (1, 2, 3, 4, 5, 6) for c in edited(words, step)
+    ] + [" ".join(words[: len(words) * 55 // 100]) for words in bench.values()]
+    copies = dict(enumerate(copies * 2))
+    hashes = {i: decontaminate.words_of([" ".join(w)]).hashes for i, w in bench.items()}
+    expected = {}
+    for d, text in copies.items():
+        passage = decontaminate.words_of([text]).hashes
+        for i, item in hashes.items():
+            score = decontaminate.smith_waterman(item, passage)[0]
+            if score >= len(item):
+                expected[d, i] = round(score / 2 / len(item), 4)
+    found = decontaminate.leaks(
+        spark.createDataFrame(list(copies.items()), "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(w)) for i, w in bench.items()],
+                              "item_id long, text string"),
+    )
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found.collect()} == expected
+    assert len(expected) > len(copies) / 2
+
+
 def test_alignment_equals_the_plain_recurrence():
     rng = np.random.default_rng(1)
     for _ in range(60):
