@@ -5,7 +5,7 @@ blank, none at the ends) and digested to 128 bits. Digests are grouped globally;
 earliest occurrence by (rank, doc_id, start) stays and every other one is removed, recorded
 with its offsets in the original text (code points, end exclusive, without the line break).
 
-Units of fewer than `min_words` words stay. Null and empty texts have no units. Rows that
+Units without words stay, and with `min_words` those of fewer. Null and empty texts have no units. Rows that
 repeat a doc_id with equal text share their occurrences: the earliest stays in each of them.
 A null doc_id comes first; without `rank`, doc_id decides.
 """
@@ -24,7 +24,7 @@ from estrato.llm.common import arrow_ready, fields, record
 from estrato.workspace import freeze
 
 BREAKS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n(?:[ \t\r]*\n)+")}
-MIN_WORDS = 6
+MIN_WORDS = 1
 
 
 def cut(text: str, breaks: re.Pattern) -> Iterator[tuple[int, int]]:

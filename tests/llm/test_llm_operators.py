@@ -374,6 +374,29 @@ def test_repeated_lines(spark, documents):
     assert {r[:6] for r in rows_of(q.op9(spark, SF))} == expected
 
 
+def test_short_lines_repeat_too(spark):
+    texts = ["Home | News\n\nMenu\nonce", " home |  NEWS\r\n \t\nmenu", None, "Menu"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {tuple(r) for r in linededup.repeats(docs).collect()}
+    assert found == {(1, 0, 14, 0, 0, 11, 2), (1, 18, 22, 0, 13, 17, 3), (3, 0, 4, 0, 13, 17, 3)}
+    longer = {tuple(r)[:2] for r in linededup.repeats(docs, min_words=2).collect()}
+    assert longer == {(1, 0)}
+
+
+def test_every_repeated_line_of_the_query(spark, documents):
+    seen, expected = set(), set()
+    for d in sorted(documents):
+        at = 0
+        for line in (documents[d] or "").split("\n"):
+            key = tuple(line.encode().lower().split())
+            if key in seen:
+                expected.add((d, at, at + len(line)))
+            if key:
+                seen.add(key)
+            at += len(line) + 1
+    assert {r[:3] for r in rows_of(q.op9(spark, SF))} == expected
+
+
 def test_paragraphs_and_rank(spark):
     text = "one two three four five six\nseven\n\nUno dos tres cuatro cinco seis"
     docs = [(1, text, 5.0), (2, "intro\n\n" + text.upper(), 1.0)]
