@@ -1,5 +1,6 @@
 """The text operators against brute force, and on null, empty, long, tied and repeated rows."""
 
+import base64
 import collections
 import hashlib
 import re
@@ -142,6 +143,28 @@ def test_secrets_of_tricky_texts(spark):
     assert clean[0] == "é [secret]'" and clean[6] is None and clean[8] == texts[8]
 
 
+def test_redaction_leaves_no_byte_of_a_key(spark):
+    body = base64.b64encode(bytes((i * i * 7 + i) % 251 for i in range(600))).decode()
+    head, foot = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    texts, expected = [], []
+    for gap in ("\n", "\r\n", "\n    ", "\\n", '" +\n  "', "\n> ", " "):
+        key = gap.join([head, *(body[i : i + 64] for i in range(0, len(body), 64))])
+        texts += [f"a {key}{gap}{foot} b", f"a {key}\nThe end of it.", f"a {key}"]
+        expected += ["a [secret] b", "a [secret]\nThe end of it.", "a [secret]"]
+    fields = "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"
+    texts += [
+        f"{head}{fields}{body}", f"{head}{fields}{body}\n{foot}\nb", f"see {head} in a sentence",
+        f"{head}\n{body}\n{head}\n{body}\n{foot} b", f"{head}\n{body}\n{foot} x {foot}",
+    ]
+    expected += [
+        "[secret]", "[secret]\nb", "see [secret] in a sentence", "[secret]\n[secret] b",
+        f"[secret] x {foot}",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert [clean[i] for i in range(len(texts))] == expected
+
+
 # -- Jaccard join --------------------------------------------------------------------------
 
 
