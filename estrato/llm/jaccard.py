@@ -20,7 +20,7 @@ ends: the components are exact, yet a group of near copies costs pairs in propor
 size, not to its square.
 
 Null or empty text, or one without words, has an empty set and is linked with nothing. Rows
-that share a doc_id are judged each by its own text. Long texts enter whole; other columns
+that share a doc_id, or have none, are judged each by its own text. Long texts enter whole; other columns
 are ignored.
 """
 
@@ -33,10 +33,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from estrato.llm.common import Texts, arrow_ready, fields, record
+from estrato.llm.common import Texts, arrow_ready, fields, record, row_key
 from estrato.llm.graph import connected
 from estrato.llm.words import Words, mix, shingle_sets
 from estrato.workspace import freeze
@@ -97,28 +97,30 @@ def _group_id(hashes: np.ndarray, like: Likeness) -> int:
 
 
 def signatures(docs: DataFrame, like: Likeness) -> DataFrame:
-    """Per row: doc_id, n, class, group and sketch (null for an empty set)."""
+    """Per row: doc_id, key, n, class, group and sketch (null for an empty set)."""
     schema = T.StructType([
-        docs.schema["doc_id"], *fields("n int, class long, group long, sketch binary")
+        docs.schema["doc_id"], *fields("key long, n int, class long, group long, sketch binary")
     ])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rows = batch.column("doc_id").to_pylist(), []
+            ids, keys, rows = *(batch.column(c).to_pylist() for c in ("doc_id", "key")), []
             for low, sets in _sets(batch, like):
                 for i, s in enumerate(sets):
                     if len(s):
                         sketch = np.bincount((s & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
                         rows.append((
-                            ids[low + i], len(s), _class_id(s), _group_id(s, like),
+                            ids[low + i], keys[low + i], len(s), _class_id(s), _group_id(s, like),
                             sketch.astype(np.uint8).tobytes(),
                         ))
                     else:
-                        rows.append((ids[low + i], 0, None, None, None))
+                        rows.append((ids[low + i], keys[low + i], 0, None, None, None))
             yield record(arrow, rows)
 
-    return arrow_ready(docs.select("doc_id", "text")).mapInArrow(run, schema)
+    return arrow_ready(
+        docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+    ).mapInArrow(run, schema)
 
 
 POSTING = pa.schema([("token", pa.int64()), ("entry", pa.int64())])
@@ -351,8 +353,8 @@ def verified(sets: DataFrame, pairs: DataFrame, like: Likeness) -> DataFrame:
 # -- the operator ------------------------------------------------------------------------
 
 
-def components(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the least doc_id reachable by links)."""
+def _joined(docs: DataFrame, like: Likeness) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of the rows, classes, and the root (class, root) of linked classes."""
     signed = freeze(signatures(docs, like), "jaccard-signatures")
     classes = freeze(
         signed.filter("n > 0").groupBy("class").agg(
@@ -368,7 +370,12 @@ def components(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     crossing = distinct_pairs(list_pairs(lists, classes, connected(links), like))
     crossing = freeze(crossing.join(middle, ["a", "b"], "left_anti"), "jaccard-pairs")
     links = links.unionByName(verified(sets, crossing, like))
-    roots = connected(links).withColumnRenamed("node", "class")
+    return signed, classes, connected(links).withColumnRenamed("node", "class")
+
+
+def components(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (the least doc_id reachable by links)."""
+    signed, classes, roots = _joined(docs, like)
     owners = classes.select("class", "doc_id").join(roots, "class").select(
         "class", "root", "doc_id"
     )
@@ -383,7 +390,48 @@ def components(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     )
 
 
-def keep_first(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
-    """The rows that come first in their component (by doc_id), with all their columns."""
-    later = components(docs, like).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(freeze(later, "later-copies"), "doc_id", "left_anti")
+def keep_first(docs: DataFrame, like: Likeness = Likeness(), once: bool = False) -> DataFrame:
+    """The rows that come first in their component, with all their columns.
+
+    Rows are ordered by doc_id, null last, then by a 64-bit key of doc_id and text. Where the
+    first row is repeated with its doc_id and text, all of these stay, or with `once` the one
+    least in its other columns; rows without a doc_id are never taken for the same document,
+    so one of them stays. Rows with an empty set stay.
+    """
+    signed, _, roots = _joined(docs, like)
+    rows = signed.filter("n > 0").groupBy("class", "doc_id", "key").agg(F.count("*").alias("times"))
+    rows = freeze(rows.join(roots, "class", "left").select(
+        F.coalesce("root", "class").alias("root"), "doc_id", "key", "times"
+    ), "jaccard-rows")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    first = rows.groupBy("root").agg(F.min(place).alias("first"))
+    later = rows.join(first, "root").filter(~place.eqNullSafe(F.col("first"))).select("key")
+    later = freeze(later, "later-copies")
+    repeated = rows.filter("times > 1")
+    if not once:
+        repeated = repeated.filter("doc_id is null")
+    repeated = freeze(
+        repeated.select("key").join(later, "key", "left_anti"), "repeated-rows"
+    )
+    named = _unused("key", docs)
+    keyed = docs.withColumn(named, row_key(F.col("doc_id"), F.col("text")))
+    repeated = repeated.withColumnRenamed("key", named)
+    kept = keyed.join(later.withColumnRenamed("key", named), named, "left_anti")
+    others = [
+        f.name for f in docs.schema
+        if isinstance(f.dataType, T.AtomicType) and f.name not in ("doc_id", "text")
+    ]
+    nth = _unused("nth", docs)
+    order = Window.partitionBy(named).orderBy(*(others or [named]))
+    picked = kept.join(repeated, named, "left_semi").withColumn(
+        nth, F.row_number().over(order)
+    ).filter(F.col(nth) == 1)
+    return kept.join(repeated, named, "left_anti").select(docs.columns).unionByName(
+        picked.select(docs.columns)
+    )
+
+
+def _unused(name: str, docs: DataFrame) -> str:
+    while name in (c.lower() for c in docs.columns):
+        name += "_"
+    return name

@@ -210,6 +210,26 @@ def test_chains_of_near_copies_and_cluster_edges(spark):
     assert set(rows_of(jaccard.components(docs, like))) == brute_components(texts, like)
 
 
+def test_one_row_of_each_group_stays(spark):
+    clean, near = prose(60, 3), prose(60, 9)
+    copy = near.rsplit(" ", 1)[0]
+    data = [
+        (1, near, "a"), (2, copy, "b"), (2, clean, "c"),  # an id of a copy and of a clean text
+        (5, prose(60, 20), "d"), (5, near + " end", "e"), (6, prose(60, 20), "f"),
+        (7, prose(60, 30), "h"), (7, prose(60, 30), "g"),  # a row repeated
+        (None, prose(60, 40), "i"), (None, prose(60, 40), "j"), (None, near, "k"),
+        (None, None, "l"), (8, "", "m"), (None, prose(60, 50), "n"), (9, prose(60, 50), "o"),
+    ]
+    docs = spark.createDataFrame(data, "doc_id long, text string, tag string")
+
+    def tags(**how):
+        return "".join(sorted(r["tag"] for r in jaccard.keep_first(docs, **how).collect()))
+
+    assert tags(once=True) == "acdgilmo"
+    assert tags() == "acdghilmo"
+    assert jaccard.keep_first(docs, once=True).columns == docs.columns
+
+
 def test_connected_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     found = dict(rows_of(graph.connected(spark.createDataFrame(path, "a long, b long"))))
