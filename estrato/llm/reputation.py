@@ -6,6 +6,10 @@ mean is the overall rate. The strength of each prior is fitted to all labelled h
 domains or suffixes by moments. A host is blocked when the lower bound of its posterior
 exceeds a limit. Fixed allow and block rules come first.
 
+Suffixes are the rules of a table (column `rule`, with `*.` and `!` as on publicsuffix.org);
+where none fits, the last label is the suffix. User, port and a closing dot do not count for
+domain and suffix, and an address (IPv4 or in brackets) is both whole.
+
 A null url, or one without `://`, has an empty host and path. A page without a label still
 belongs to its host; pages with several labels count once for each; null labels are skipped.
 """
@@ -13,14 +17,15 @@ belongs to its host; pages with several labels count once for each; null labels
 from __future__ import annotations
 
 from dataclasses import dataclass
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BOUND_Z = 1.645
 MOST_BAD = 0.5
 
-# Suffixes of two labels under which domains are registered.
-LONG_SUFFIXES = ("co.uk", "org.uk", "com.au", "co.jp", "com.br", "co.in", "com.mx", "co.nz")
+# The list of publicsuffix.org, as Debian packages it (MPL 2.0, see its head).
+SUFFIX_LIST = Path(__file__).with_name("public_suffix_list.dat")
 
 
 @dataclass(frozen=True)
@@ -65,17 +70,47 @@ def rule_of(rules: tuple[UrlRule, ...]) -> tuple[Column, Column]:
     return place, verdict
 
 
-def with_owner(hosts: DataFrame) -> DataFrame:
-    """Adds suffix and registered domain of a host."""
-    long = F.lit(False)
-    for suffix in LONG_SUFFIXES:
-        long = long | F.col("host").endswith(f".{suffix}") | (F.col("host") == suffix)
-    return hosts.withColumns({
-        name: F.when(long, F.substring_index("host", ".", -labels - 1)).otherwise(
-            F.substring_index("host", ".", -labels)
+def suffix_table(spark: SparkSession, path: Path = SUFFIX_LIST) -> DataFrame:
+    """The rules of a public suffix list, names beyond ASCII also in the form of the DNS."""
+    lines = (line.split() for line in path.read_text(encoding="utf-8").splitlines())
+    rules = {line[0] for line in lines if line and not line[0].startswith("//")}
+    rules |= {r.encode("idna").decode() for r in rules if not r.isascii()}
+    whole = F.split(F.lit(" ".join(sorted(rules))), " ")
+    return spark.range(1).select(F.explode(whole).alias("rule"))
+
+
+def with_owner(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """Adds suffix and registered domain of a host; one row per host."""
+    body = F.regexp_replace("rule", r"^(\*\.|!)", "")
+    labels = F.size(F.split("tail", r"\."))
+    rules = suffixes.select("rule", body.alias("tail")).groupBy("tail").agg(
+        F.max(F.when(~F.col("rule").rlike(r"^(\*\.|!)"), labels)).alias("plain"),
+        F.max(F.when(F.col("rule").startswith("*."), labels + 1)).alias("wild"),
+        F.max(F.when(F.col("rule").startswith("!"), labels - 1)).alias("except"),
+    )
+    longest = rules.agg(F.max(labels)).first()[0] or 1
+    name = F.regexp_replace(F.regexp_replace("host", "^.*@", ""), r":[0-9]*$", "")
+    named = hosts.withColumn("name", F.regexp_replace(name, r"\.$", ""))
+    size = F.size(F.split("name", r"\."))
+    tails = named.select(
+        "host", size.alias("size"), "name",
+        F.explode(F.sequence(F.lit(1), F.least(size, F.lit(longest)))).alias("k"),
+    ).withColumn("tail", F.expr("substring_index(name, '.', -k)"))
+    # The rules are bounded: some ten thousand in the whole public list.
+    found = tails.join(F.broadcast(rules), "tail").groupBy("host").agg(
+        F.max("except").alias("except"), F.max("plain").alias("plain"),
+        F.max(F.when(F.col("wild") <= F.col("size"), F.col("wild"))).alias("wild"),
+    ).select(
+        "host", F.coalesce("except", F.greatest("plain", "wild")).alias("labels")
+    )
+    address = F.col("name").rlike(r"^([0-9]+(\.[0-9]+){3}|\[.*\])$")
+    owned = named.join(found, "host", "left").withColumn("labels", F.coalesce("labels", F.lit(1)))
+    return owned.withColumns({
+        column: F.when(address, F.col("name")).otherwise(
+            F.expr(f"substring_index(name, '.', -labels - {more})")
         )
-        for labels, name in ((1, "suffix"), (2, "domain"))
-    })
+        for more, column in ((0, "suffix"), (1, "domain"))
+    }).select(*hosts.columns, "suffix", "domain")
 
 
 def prior(groups: DataFrame) -> Column:
@@ -109,12 +144,13 @@ def _rate(mean: Column, strength: Column) -> Column:
     return (F.col("bad") + strength * mean) / (F.col("n") + strength)
 
 
-def reputations(outcomes: DataFrame) -> DataFrame:
+def reputations(outcomes: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """Bad rate of every host: posterior mean and lower bound, from rows (host, bad), where
-    bad is 1, 0 or null for no label."""
+    bad is 1, 0 or null for no label. Without `suffixes`, the public list counts."""
+    public = suffix_table(outcomes.sparkSession) if suffixes is None else suffixes
     hosts = with_owner(outcomes.groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
-    ))
+    ), public)
     domains = _summed(hosts, ["domain", "suffix"])
     suffixes = _summed(domains, ["suffix"])
     top, middle, low = prior(suffixes), prior(domains), prior(hosts)
@@ -132,7 +168,7 @@ def reputations(outcomes: DataFrame) -> DataFrame:
 
 def judged(
     pages: DataFrame, labels: DataFrame, rules: tuple[UrlRule, ...] = RULES,
-    most_bad: float = MOST_BAD,
+    most_bad: float = MOST_BAD, suffixes: DataFrame | None = None,
 ) -> DataFrame:
     """Pages with host, path, the fixed rule that fits and the verdict.
 
@@ -143,7 +179,7 @@ def judged(
     marked = places.select("page_id", "host").join(
         labels.select("page_id", "bad"), "page_id", "left"
     )
-    bounds = reputations(marked).select(
+    bounds = reputations(marked, suffixes).select(
         F.col("host").alias("rated_host"),
         F.when(F.col("bound") > most_bad, "block").otherwise("allow").alias("earned"),
     )

@@ -482,6 +482,24 @@ def test_addresses(spark):
     assert found[0]["host"] == "" and found[3]["host"] == "a.net"
 
 
+def test_registered_domains(spark):
+    expected = {
+        "a.b.ac.uk": ("ac.uk", "b.ac.uk"), "x.co.kr": ("co.kr", "x.co.kr"),
+        "p.github.io": ("github.io", "p.github.io"), "github.io": ("github.io", "github.io"),
+        "a.b.c.ck": ("c.ck", "b.c.ck"), "a.www.ck": ("ck", "www.ck"), "ck": ("ck", "ck"),
+        "www.example.com:8080": ("com", "example.com"), "me:1@example.com.": ("com", "example.com"),
+        "10.0.0.1:80": ("10.0.0.1", "10.0.0.1"), "[::1]:80": ("[::1]", "[::1]"), "": ("", ""),
+        "a.b.unknown-suffix": ("unknown-suffix", "b.unknown-suffix"),
+        "w.a.xn--55qx5d.cn": ("xn--55qx5d.cn", "a.xn--55qx5d.cn"),
+    }
+    hosts = spark.createDataFrame([(h,) for h in expected], "host string")
+    found = reputation.with_owner(hosts, reputation.suffix_table(spark)).collect()
+    assert {r["host"]: (r["suffix"], r["domain"]) for r in found} == expected
+    own = spark.createDataFrame([("unknown-suffix",), ("b.unknown-suffix",)], "rule string")
+    found = {r["host"]: r["suffix"] for r in reputation.with_owner(hosts, own).collect()}
+    assert found["a.b.unknown-suffix"] == "b.unknown-suffix" and found["a.b.ac.uk"] == "uk"
+
+
 def test_bad_hosts_are_blocked_by_many_labels_not_by_one(spark):
     pages = [(i, "http://bad.a.com/x") for i in range(40)] + [
         (100 + i, f"http://h{i % 30}.b{i % 7}.com/") for i in range(200)
