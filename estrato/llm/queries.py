@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from estrato.llm import (
-    chat, decontaminate, jaccard, linededup, packing, quality, reputation, secrets, sharding,
-    substrings,
+    alignment, bpe, chat, decontaminate, jaccard, linededup, merkle, packing, quality,
+    reputation, secrets, sharding, substrings,
 )
 from estrato.llm.common import arrow_ready, fields, map_batches, record, table
 
@@ -369,3 +369,157 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         ],
         "base_failed", "kept",
     )
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+        tokenizer_path("piece_bpe_32k.model"),
+    )
+    rest = ["n_links", "block", "places", "times"]
+    schema = T.StructType([
+        found.documents.schema["doc_id"],
+        *fields("n_a long, n_b long, n_groups long, groups_sha256 string"),
+        *[found.documents.schema[c] for c in rest],
+    ])
+    arrow = to_arrow_schema(schema)
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc_id, *tokens in zip(*(c.to_pylist() for c in batch.columns[:5])):
+                rows.append((doc_id, len(tokens[0]), len(tokens[1]), len(tokens[2]),
+                             _groups_sha256(*tokens)))
+            columns = record(pa.schema(list(arrow)[:5]), rows).columns + [
+                c.cast(f.type) for c, f in zip(batch.columns[5:], list(arrow)[5:])
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    tokens = found.documents.select("doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes", *rest)
+    return alignment.scored(map_batches(tokens, digest, schema), found.pairs)
+
+
+def _groups_sha256(a: list, b: list, a_sizes: list, b_sizes: list) -> str:
+    if not a:
+        return ""
+    digest, at_a, at_b = hashlib.sha256(), 0, 0
+    a, b = list(map(str, a)), list(map(str, b))
+    for i, (m, n) in enumerate(zip(a_sizes, b_sizes)):
+        group = f"{','.join(a[at_a : at_a + m])}|{','.join(b[at_b : at_b + n])}"
+        digest.update(f";{group}".encode() if i else group.encode())
+        at_a, at_b = at_a + m, at_b + n
+    return digest.hexdigest()
+
+
+DIGESTED = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query("op12_merkle_manifest", """
+WITH RECURSIVE
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, lang, n_chars, text,
+    list_reduce(
+      list_prepend(4294967295::BIGINT,
+        list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, byte: list_reduce(
+        list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, bit: xor(x >> 1, 3988292384::BIGINT * (x & 1)))
+    ) AS turned
+  FROM documents
+),
+e AS (
+  SELECT *, n_chars + CASE WHEN xor(turned, 4294967295::BIGINT) % 7 = 0 THEN 1 ELSE 0 END
+    AS altered FROM d
+),
+hashed AS (
+  SELECT r, doc_id, lang, sha256(own || more || rest) AS leaf,
+    sha256(own || coalesce(strlen(altered::VARCHAR) || ':' || altered, '-') || rest) AS bad_leaf
+  FROM (
+    SELECT r, doc_id, lang, altered,
+      coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+        || coalesce(strlen(source) || ':' || source, '-')
+        || coalesce(strlen(lang) || ':' || lang, '-') AS own,
+      coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS more,
+      coalesce(strlen(text) || ':' || text, '-') AS rest
+    FROM e
+  )
+),
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY lang) AS n,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g
+  FROM hashed WINDOW w AS (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf)
+),
+up AS (
+  SELECT g, 0 AS level, i, n, leaf AS node FROM placed
+  UNION ALL
+  SELECT g, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY i))
+  FROM up WHERE n > 1 GROUP BY g, level, i // 2, n
+),
+subroots AS (SELECT g, node FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS level, g AS i, (SELECT count(*) FROM subroots) AS n, node FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY i))
+  FROM top WHERE n > 1 GROUP BY level, i // 2, n
+),
+steps AS (
+  SELECT p.r, u.level AS step, (p.i >> u.level) & 1 AS slot, s.node AS sibling
+  FROM placed p
+  JOIN up u ON u.g = p.g AND u.i = p.i >> u.level AND u.n > 1
+  LEFT JOIN up s ON s.g = u.g AND s.level = u.level AND s.i = xor(u.i, 1)
+  UNION ALL
+  SELECT p.r, 1000 + u.level, (p.g >> u.level) & 1, s.node
+  FROM placed p
+  JOIN top u ON u.i = p.g >> u.level AND u.n > 1
+  LEFT JOIN top s ON s.level = u.level AND s.i = xor(u.i, 1)
+),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY step) AS nth FROM steps
+),
+folded AS (
+  SELECT r, 0 AS done, bad_leaf AS node FROM placed
+  UNION ALL
+  SELECT f.r, done + 1, sha256(CASE WHEN sibling IS NULL THEN node
+    WHEN slot = 0 THEN node || sibling ELSE sibling || node END)
+  FROM folded f JOIN ordered o ON o.r = f.r AND o.nth = f.done + 1
+),
+proofs AS (
+  SELECT r, sha256(coalesce(string_agg(sibling, '' ORDER BY nth), '')) AS proof
+  FROM ordered GROUP BY r
+)
+SELECT p.doc_id, p.leaf, s.node AS subroot, t.node AS root,
+  coalesce(q.proof, sha256('')) AS proof_sha256, f.node AS folded_root,
+  f.node = t.node AS verified
+FROM placed p JOIN subroots s ON s.g = p.g
+JOIN (SELECT node FROM top WHERE n = 1) t ON true
+LEFT JOIN proofs q ON q.r = p.r
+JOIN (SELECT r, max_by(node, done) AS node FROM folded GROUP BY r) f ON f.r = p.r
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    altered = {c: F.col(c) for c in DIGESTED} | {
+        "n_chars": F.col("n_chars").cast("long") + F.when(hit, 1).otherwise(0)
+    }
+    rows = merkle.manifest(
+        docs.withColumn("shown_leaf", merkle.leaf_digest(*altered.values())),
+        DIGESTED, "lang", "doc_id", keep=("shown_leaf",),
+    )
+    proof = F.transform(merkle.siblings(F.col("path")), merkle.as_hex)
+    folded = rows.select(
+        "doc_id", *[merkle.as_hex(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+        F.sha2(F.array_join(proof, ""), 256).alias("proof_sha256"),
+        merkle.as_hex(merkle.fold(F.col("shown_leaf"), F.col("path"))).alias("folded_root"),
+    )
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op13_speculative_bpe")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    rows = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return rows.select(
+        "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
