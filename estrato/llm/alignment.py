@@ -27,6 +27,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +39,9 @@ from estrato.llm.bpe import byte_letters
 from estrato.llm.common import arrow_ready, fields
 from estrato.workspace import freeze
 
-MOST_REMEMBERED = 400_000  # stretches
-MOST_TOKENS = 4_000_000
-BLOCK_CHARS = 1 << 21  # a block ends with the row that reaches this many characters
+MOST_REMEMBERED = 400_000  # stretches; those met once make room for new ones
+MOST_TOKENS = 2_000_000
+BLOCK_CHARS = 1 << 19  # a block ends with the row that reaches this many characters
 BLOCK_ROWS = 2048
 SMALL = 256  # links of a group up to which they are listed before they are counted
 PAIR = 1 << 32  # a pair of ids as one number: a * PAIR + b
@@ -112,9 +113,22 @@ class Aligner:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.uses = np.empty(0, np.int64)
         self.unspelt: set[str] = set()
         self.parts = dict.fromkeys(PARTS, NOTHING)
 
+    def _make_room(self) -> None:
+        """Keeps the stretches met more than once, if they are few enough."""
+        rows = np.flatnonzero(self.uses > 1)
+        kept = {name: part[rows] for name, part in self.parts.items()}
+        if len(rows) > MOST_REMEMBERED // 2 or len(kept["a_ids"].values) > MOST_TOKENS // 2:
+            return self._forget()
+        new = np.full(len(self.uses), -1)
+        new[rows] = np.arange(len(rows))
+        self.known = {s: at for s, at in zip(self.known, new.tolist()) if at >= 0}
+        self.unspelt &= self.known.keys()
+        self.uses, self.parts = np.ones(len(rows), np.int64), kept
+
     def _b_cuts(self) -> bool:
         """Whether no piece of B holds a line end, or a blank after something else."""
         whole = [
@@ -126,17 +140,18 @@ class Aligner:
     def align(self, texts: list[str | None]) -> dict[str, Ragged]:
         """What each text has, by the names in PARTS."""
         if len(self.known) > MOST_REMEMBERED or len(self.parts["a_ids"].values) > MOST_TOKENS:
-            self._forget()
+            self._make_room()
         cut = [
             [] if not t else CUT.split(f" {t}") if self.cuts else [f" {t}"] for t in texts
         ]
-        self._learn(list({s for stretches in cut for s in stretches} - self.known.keys()))
+        met = {s for stretches in cut for s in stretches}
+        self._learn([s for s in met if s not in self.known])
         if self.unspelt:
             cut = [[] if self.unspelt.intersection(stretches) else stretches for stretches in cut]
         counts = np.array([len(stretches) for stretches in cut], np.int64)
-        rows = np.fromiter(
-            (self.known[s] for stretches in cut for s in stretches), np.int64, counts.sum()
-        )
+        place = self.known.__getitem__
+        rows = np.array([at for stretches in cut for at in map(place, stretches)], np.int64)
+        self.uses += np.bincount(rows, minlength=len(self.uses))
         return {name: part[rows].joined(counts) for name, part in self.parts.items()}
 
     def _learn(self, stretches: list[str]) -> None:
@@ -158,6 +173,7 @@ class Aligner:
                 one = {name: Ragged(NOTHING.values, np.zeros(1, np.int64)) for name in PARTS}
             self.known[s] = len(self.known)
             added.append(one)
+        self.uses = np.append(self.uses, np.zeros(len(stretches), np.int64))
         self.parts = {
             name: Ragged.end_to_end([part, *[x[name] for x in added]])
             for name, part in self.parts.items()
@@ -192,7 +208,8 @@ class Aligner:
         inside its last character."""
         coded = self.a.encode(text, add_special_tokens=False)
         ids = np.array(coded.ids, np.int64)
-        spans = np.array(coded.offsets, np.int64).reshape(-1, 2)
+        spans = np.fromiter(chain.from_iterable(coded.offsets), np.int64, 2 * len(ids))
+        spans = spans.reshape(-1, 2)
         letters = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         widths = 1 + sum((letters >= least).astype(np.int64) for least in (0x80, 0x800, 0x10000))
         coarse = np.concatenate([[0], np.cumsum(widths)])[spans[:, 1]]
@@ -205,9 +222,11 @@ class Aligner:
         of this one, or where that starts with a line end, a piece of its own."""
         blank = text[0] == " "
         pieces = self.b.encode(text[blank:], return_type="proto").pieces
-        found = np.array([(p.id, p.begin, p.end) for p in pieces], np.int64).reshape(-1, 3)
-        ids, begins, ends = (found if blank else found[1:]).T
-        return ids, _refined(ends + blank, ends > begins, self.b_lengths[ids])
+        ids, ends = np.array([(p.id, p.end) for p in pieces], np.int64).reshape(-1, 2).T
+        clean = np.diff(ends, prepend=0) > 0
+        if not blank:
+            ids, ends, clean = ids[1:], ends[1:], clean[1:]
+        return ids, _refined(ends + blank, clean, self.b_lengths[ids])
 
 
 def _refined(coarse: np.ndarray, clean: np.ndarray, lengths: np.ndarray) -> np.ndarray:
