@@ -39,9 +39,9 @@ from estrato.llm.bpe import byte_letters
 from estrato.llm.common import arrow_ready, fields
 from estrato.workspace import freeze
 
-MOST_REMEMBERED = 400_000  # stretches; those met once make room for new ones
+MOST_REMEMBERED = 200_000  # stretches; those met once make room for new ones
 MOST_TOKENS = 2_000_000
-BLOCK_CHARS = 1 << 19  # a block ends with the row that reaches this many characters
+BLOCK_CHARS = 1 << 18  # a block ends with the row that reaches this many characters
 BLOCK_ROWS = 2048
 SMALL = 256  # links of a group up to which they are listed before they are counted
 PAIR = 1 << 32  # a pair of ids as one number: a * PAIR + b
@@ -144,13 +144,12 @@ class Aligner:
         cut = [
             [] if not t else CUT.split(f" {t}") if self.cuts else [f" {t}"] for t in texts
         ]
-        met = {s for stretches in cut for s in stretches}
-        self._learn([s for s in met if s not in self.known])
+        self._learn(list(set().union(*cut).difference(self.known)))
         if self.unspelt:
             cut = [[] if self.unspelt.intersection(stretches) else stretches for stretches in cut]
         counts = np.array([len(stretches) for stretches in cut], np.int64)
-        place = self.known.__getitem__
-        rows = np.array([at for stretches in cut for at in map(place, stretches)], np.int64)
+        places = map(self.known.__getitem__, chain.from_iterable(cut))
+        rows = np.fromiter(places, np.int64, counts.sum())
         self.uses += np.bincount(rows, minlength=len(self.uses))
         return {name: part[rows].joined(counts) for name, part in self.parts.items()}
 
@@ -222,7 +221,8 @@ class Aligner:
         of this one, or where that starts with a line end, a piece of its own."""
         blank = text[0] == " "
         pieces = self.b.encode(text[blank:], return_type="proto").pieces
-        ids, ends = np.array([(p.id, p.end) for p in pieces], np.int64).reshape(-1, 2).T
+        ids = np.array([p.id for p in pieces], np.int64)
+        ends = np.array([p.end for p in pieces], np.int64)
         clean = np.diff(ends, prepend=0) > 0
         if not blank:
             ids, ends, clean = ids[1:], ends[1:], clean[1:]
