@@ -35,13 +35,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from estrato.llm.bpe import byte_letters
+from estrato.llm.bpe import byte_letters, portions
 from estrato.llm.common import arrow_ready, fields
 from estrato.workspace import freeze
 
 MOST_REMEMBERED = 200_000  # stretches; those met once make room for new ones
 MOST_TOKENS = 2_000_000
-BLOCK_CHARS = 1 << 18  # a block ends with the row that reaches this many characters
+PORTION = 1 << 18  # characters whose tokens are looked up at a time
+BLOCK_CHARS = 1 << 20  # a block ends with the row that reaches this many characters
 BLOCK_ROWS = 2048
 SMALL = 256  # links of a group up to which they are listed before they are counted
 PAIR = 1 << 32  # a pair of ids as one number: a * PAIR + b
@@ -77,6 +78,15 @@ class Ragged:
         offsets = np.concatenate([[0], np.cumsum(self.lengths)]).astype(np.int32)
         return pa.ListArray.from_arrays(offsets, pa.array(self.values).cast(kind))
 
+    def packed(self, kind: str) -> pa.Array:
+        """The lists as binaries of numbers of a numpy type."""
+        data = self.values.astype(kind)
+        offsets = np.concatenate([[0], np.cumsum(self.lengths)]) * data.itemsize
+        return pa.Array.from_buffers(
+            pa.binary(), len(self.lengths),
+            [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)],
+        )
+
 
 NOTHING = Ragged(np.empty(0, np.int64), np.empty(0, np.int64))
 # What a stretch has: ids of both tokenizers, how many of each make up its groups, and linked
@@ -275,8 +285,9 @@ def aligner(path_a: str, path_b: str) -> Aligner:
 
 INTS, LONGS = T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())
 ALIGNED = [
-    *[T.StructField(c, INTS) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes")],
-    *fields("n_links long, block long"),
+    # Ids, little-endian, 32 bits each, and a byte per token: 1 on the last of a group.
+    *fields("a_ids binary, b_ids binary, a_last binary, b_last binary"),
+    *fields("n_a long, n_b long, n_groups long, n_links long, block long"),
     # What the document links: places in the list of its block, and how often.
     T.StructField("places", INTS), T.StructField("times", LONGS),
 ]
@@ -286,8 +297,8 @@ LISTED = [T.StructField("pairs", LONGS), T.StructField("holders", INTS)]
 
 @dataclass
 class Alignment:
-    """documents: the kept columns, ids of both tokenizers, tokens per group (a_sizes,
-    b_sizes), n_links, and references to the block's pairs. pairs: one row per block."""
+    """documents: the kept columns, tokens and groups as in ALIGNED, and references to the
+    block's pairs. pairs: one row per block."""
 
     documents: DataFrame
     pairs: DataFrame
@@ -310,7 +321,9 @@ def align(
         number = TaskContext.get().partitionId() << 33
         for rows in _blocks(batches):
             texts = rows.column(len(names)).to_pylist()
-            columns = _block(work.align(texts), number)
+            found = [work.align(texts[p]) for p in portions([len(t or "") for t in texts], PORTION)]
+            parts = {name: Ragged.end_to_end([x[name] for x in found]) for name in PARTS}
+            columns = _block(parts, number)
             kept = [
                 pa.concat_arrays([*c.chunks, pa.nulls(1, c.type)])
                 for c in rows.columns[: len(names)]
@@ -356,12 +369,15 @@ def _block(parts: dict[str, Ragged], number: int) -> list[pa.Array]:
     doc, places = (keys // len(pairs), keys % len(pairs)) if len(pairs) else (keys, keys)
     sizes = np.bincount(doc, minlength=n)
     links = np.bincount(doc, times, n).astype(np.int64)
-    lists = [parts[name].arrow(pa.int32()) for name in PARTS[:4]]
-    lists = [pa.concat_arrays([c, pa.nulls(1, c.type)]) for c in lists]
+    tokens = [parts[name].packed("<i4") for name in ("a_ids", "b_ids")]
+    tokens += [_last(parts, side).packed("i1") for side in "ab"]
+    counts = [parts[name].lengths for name in ("a_ids", "b_ids", "a_sizes")]
     own = [
+        *tokens, *[pa.array(c) for c in (*counts, links, np.full(n, number))],
         Ragged(places, sizes).arrow(pa.int32()), Ragged(times, sizes).arrow(pa.int64()),
     ]
     own = [pa.concat_arrays([c, pa.nulls(1, c.type)]) for c in own]
+    own[-3] = pa.array(np.full(n + 1, number))
     holders = np.bincount(places, minlength=len(pairs))
     listed = [
         pa.concat_arrays([
@@ -369,8 +385,15 @@ def _block(parts: dict[str, Ragged], number: int) -> list[pa.Array]:
         ])
         for x, kind in ((pairs, pa.int64()), (holders, pa.int32()))
     ]
-    counts = pa.array([*links.tolist(), None], pa.int64())
-    return [*lists, counts, pa.array([number] * (n + 1), pa.int64()), *own, *listed]
+    return [*own, *listed]
+
+
+def _last(parts: dict[str, Ragged], side: str) -> Ragged:
+    """A flag per token: it is the last of its group."""
+    tokens = parts[f"{side}_ids"]
+    flags = np.zeros(len(tokens.values), np.int8)
+    flags[np.cumsum(parts[f"{side}_sizes"].values) - 1] = 1
+    return Ragged(flags, tokens.lengths)
 
 
 def pair_counts(pairs: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -377,39 +378,48 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
         tokenizer_path("piece_bpe_32k.model"),
     )
-    rest = ["n_links", "block", "places", "times"]
-    schema = T.StructType([
-        found.documents.schema["doc_id"],
-        *fields("n_a long, n_b long, n_groups long, groups_sha256 string"),
-        *[found.documents.schema[c] for c in rest],
-    ])
+    tokens = ["a_ids", "b_ids", "a_last", "b_last"]
+    rest = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "block", "places", "times"]
+    schema = T.StructType(
+        [*[found.documents.schema[c] for c in rest], *fields("groups_sha256 string")]
+    )
     arrow = to_arrow_schema(schema)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc_id, *tokens in zip(*(c.to_pylist() for c in batch.columns[:5])):
-                rows.append((doc_id, len(tokens[0]), len(tokens[1]), len(tokens[2]),
-                             _groups_sha256(*tokens)))
-            columns = record(pa.schema(list(arrow)[:5]), rows).columns + [
-                c.cast(f.type) for c, f in zip(batch.columns[5:], list(arrow)[5:])
-            ]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+            ids_and_ends = zip(*(c.to_pylist() for c in batch.columns[: len(tokens)]))
+            digests = pa.array([_groups_sha256(*x) for x in ids_and_ends], pa.string())
+            columns = [c.cast(f.type) for c, f in zip(batch.columns[len(tokens):], arrow)]
+            yield pa.RecordBatch.from_arrays([*columns, digests], schema=arrow)
+
+    digested = map_batches(found.documents.select(*tokens, *rest), digest, schema)
+    return alignment.scored(digested, found.pairs)
+
+
+class _Shown(dict):
+    """An id and what follows it, as text."""
+
+    def __missing__(self, key: int) -> str:
+        self[key] = f"{key >> 2}{',|;'[key & 3]}"
+        return self[key]
+
 
-    tokens = found.documents.select("doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes", *rest)
-    return alignment.scored(map_batches(tokens, digest, schema), found.pairs)
+_shown = _Shown()
 
 
-def _groups_sha256(a: list, b: list, a_sizes: list, b_sizes: list) -> str:
+def _groups_sha256(a: bytes, b: bytes, a_last: bytes, b_last: bytes) -> str:
+    """Digest of `a1,a2|b1;a3|b2,b3`: the tokens of A and B sorted by group, each with its
+    mark, without the last mark."""
     if not a:
         return ""
-    digest, at_a, at_b = hashlib.sha256(), 0, 0
-    a, b = list(map(str, a)), list(map(str, b))
-    for i, (m, n) in enumerate(zip(a_sizes, b_sizes)):
-        group = f"{','.join(a[at_a : at_a + m])}|{','.join(b[at_b : at_b + n])}"
-        digest.update(f";{group}".encode() if i else group.encode())
-        at_a, at_b = at_a + m, at_b + n
-    return digest.hexdigest()
+    marked, groups = [], []
+    for ids, last, mark in ((a, a_last, 1), (b, b_last, 2)):
+        ends = np.frombuffer(last, np.int8).astype(np.int64)
+        marked.append(np.frombuffer(ids, "<i4").astype(np.int64) * 4 + ends * mark)
+        groups.append((np.cumsum(ends) - ends) * 2 + mark - 1)
+    order = np.argsort(np.concatenate(groups), kind="stable")
+    text = "".join(map(_shown.__getitem__, np.concatenate(marked)[order].tolist()))
+    return hashlib.sha256(text[:-1].encode()).hexdigest()
 
 
 DIGESTED = ("doc_id", "source", "lang", "n_chars", "text")

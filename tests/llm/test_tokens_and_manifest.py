@@ -168,9 +168,10 @@ def brute_groups(aligner, text):
     if not b"".join(bytes_a) == b"".join(bytes_b) == whole.encode():
         return []
     ends_a, ends_b = (np.cumsum([len(x) for x in y]).tolist() for y in (bytes_a, bytes_b))
+    at_a, at_b = ({end: k + 1 for k, end in enumerate(x)} for x in (ends_a, ends_b))
     groups, i, j = [], 0, 0
-    for end in sorted(set(ends_a) & set(ends_b)):
-        m, n = ends_a.index(end) + 1, ends_b.index(end) + 1
+    for end in sorted(at_a.keys() & at_b):
+        m, n = at_a[end], at_b[end]
         groups.append((a[i:m], b[j:n]))
         i, j = m, n
     return groups
@@ -259,9 +260,10 @@ def test_alignment_on_edge_rows(spark, edges, aligner, tmp_path, spread):
                             q.tokenizer_path("piece_bpe_32k.model"), keep=("doc_id", "root"))
     rows = alignment.scored(found.documents, found.pairs).collect()
     expected = brute_alignment(aligner, [(r[0], r[1]) for r in ROWS])
-    shown = sorted(
-        ((r["doc_id"], len(r["a_ids"]), len(r["b_ids"]), len(r["a_sizes"]), r["n_links"],
-          r["n_best"], r["count_sum"]) for r in rows), key=repr)
+    shown = sorted((tuple(r[c] for c in CONTRACT[:-1]) for r in rows), key=repr)
+    for r in rows:
+        assert (len(r["a_ids"]), len(r["b_ids"])) == (4 * r["n_a"], 4 * r["n_b"])
+        assert sum(r["a_last"]) == sum(r["b_last"]) == r["n_groups"]
     assert shown == sorted((e[:7] for e in expected), key=repr)
     assert {r["root"] for r in rows} == {1}
     empty = alignment.align(docs.limit(0), q.tokenizer_path("byte_bpe_50k.json"),
