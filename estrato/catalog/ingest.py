@@ -97,6 +97,57 @@ def upsert_actions(d: Data) -> DataFrame:
     return action_counts(_merged(d))
 
 
+ORDERS = model.Table(
+    "orders", "orders", "o_orderkey",
+    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice decimal(18,2), "
+    "o_orderpriority string",
+)
+
+
+def _two_batches(d: Data) -> tuple[Lake, list[DataFrame]]:
+    """Both states of the orders through a lake whose tables are kept in buckets."""
+    lake = Lake(d.spark, scratch_path(d.spark, "lake"), buckets=32)
+    old, new = _states(d)
+    first = Batch(RUN_TS, "lote-1", "core")
+    return lake, [
+        bronze.ingest(lake, ORDERS, state, batch) for state, batch in ((old, first), (new, NEW))
+    ]
+
+
+@query(
+    "b2_bucket_upsert",
+    _ACTIONS + """
+SELECT act.o_orderkey,
+       if(accion IN ('INSERT', 'UPDATE'), new.o_custkey, old.o_custkey) AS o_custkey,
+       if(accion IN ('INSERT', 'UPDATE'), new.o_orderstatus, old.o_orderstatus) AS o_orderstatus,
+       cast(if(accion IN ('INSERT', 'UPDATE'), new.o_totalprice, old.o_totalprice)
+            as decimal(18,2)) AS o_totalprice,
+       if(accion IN ('INSERT', 'UPDATE'), new.o_orderpriority, old.o_orderpriority)
+           AS o_orderpriority,
+       if(accion IN ('INSERT', 'UPDATE'), timestamp '2001-08-28 09:00:00',
+          timestamp '2001-08-27 10:00:00') AS fecha_ingesta,
+       'core' AS sistema_fuente,
+       if(accion IN ('INSERT', 'UPDATE'), 'lote-2', 'lote-1') AS id_lote
+FROM act LEFT JOIN old ON act.o_orderkey = old.o_orderkey
+     LEFT JOIN new ON act.o_orderkey = new.o_orderkey""",
+)
+def bucket_upsert(d: Data) -> DataFrame:
+    lake, _ = _two_batches(d)
+    return bronze.current(lake, ORDERS)
+
+
+@query(
+    "b2_bucket_actions",
+    _ACTIONS + """SELECT 'lote-1' AS id_lote, 'INSERT' AS accion, count(*) AS registros FROM old
+UNION ALL SELECT 'lote-2', accion, count(*) FROM act GROUP BY accion""",
+)
+def bucket_actions(d: Data) -> DataFrame:
+    _, (first, second) = _two_batches(d)
+    return first.withColumn("id_lote", F.lit("lote-1")).unionByName(
+        second.withColumn("id_lote", F.lit("lote-2"))
+    )
+
+
 @query(
     "b3_batch_stamp",
     _ACTIONS + """SELECT if(accion IN ('INSERT', 'UPDATE'), 'lote-2', 'lote-1') AS id_lote,

@@ -1,22 +1,22 @@
-"""Lake tables: overwritten snapshots, versioned Bronze snapshots, daily change log."""
+"""Lake tables: overwritten snapshots, logs, daily change log."""
 
 from __future__ import annotations
 
 import datetime as dt
 import threading
-import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from estrato.operators.increment import MICROS, day_bound, day_parts, micros
+from estrato.operators.increment import day_bound, day_parts
 from estrato.workspace import small_frame
 
 
 class Lake:
     """Parquet tables under one root folder, addressed as layer / table."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark = spark
+        self.buckets = buckets  # of Bronze tables yet to be written, about a gigabyte each
         self.root = root.rstrip("/")
         self._log_lock = threading.Lock()
 
@@ -66,18 +66,6 @@ class Lake:
         top = self.read_or_empty(layer, table, ddl).agg(F.max(column)).first()[0]
         return (top or 0) + 1
 
-    def write_version(self, layer: str, table: str, version: str, df: DataFrame) -> str:
-        """Write a new snapshot next to the one being read; the caller publishes it.
-
-        Rows are ordered by ingestion time inside each file, so that reading the rows
-        after a mark skips the row groups before it. Every attempt has a folder of its own:
-        a repeated batch may be reading the one it wrote before.
-        """
-        path = f"{self.path(layer, table)}/lote={version}-{uuid.uuid4().hex}"
-        timed = df.withColumn(MICROS, micros(F.col("fecha_ingesta")))
-        timed.sortWithinPartitions(MICROS).write.parquet(path)
-        return path
-
 
 def append_daily(df: DataFrame, ts_col: str, path: str, run_id: str) -> dict:
     """Append rows under anio=/mes=/dia=/ejecucion= and return what was written.

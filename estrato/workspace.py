@@ -58,11 +58,11 @@ def freeze(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a file or folder in whatever store holds it."""
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder in whatever store holds it; False where there was none."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     there = jvm.org.apache.hadoop.fs.Path(path)
-    there.getFileSystem(conf).delete(there, True)
+    return there.getFileSystem(conf).delete(there, True)
 
 
 @contextmanager
