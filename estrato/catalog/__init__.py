@@ -1,6 +1,6 @@
 """Named queries over the test tables, each with the SQL that must give the same rows."""
 
 from estrato.catalog import (  # noqa: F401  (importing a module registers its queries)
-    checks, fraud, gold, ingest, io, quality, relational, runs,
+    changes, checks, fraud, gold, ingest, io, quality, relational, runs,
 )
 from estrato.catalog.registry import REGISTRY  # noqa: F401

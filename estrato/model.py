@@ -99,6 +99,7 @@ CHECK_LOG = (
     "resultado string, valor_observado bigint, valor_esperado bigint, detalle string, "
     "fecha_ejecucion timestamp_ntz"
 )
+MART_LOG = "id_log bigint, mart string, tabla string, manifiesto string, ruta string"
 SNAPSHOT_LOG = "id_log bigint, tabla string, id_lote string, fecha timestamp_ntz, ruta string"
 
 # Readable segment names.

@@ -6,9 +6,10 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from estrato.operators.quality import union_all
+from estrato.workspace import freeze
 
 PASS, FAIL = "PASS", "FAIL"
 
@@ -19,16 +20,33 @@ def duplicates(df: DataFrame, key: str) -> DataFrame:
     return repeated.agg(F.count("*").alias("duplicados"))
 
 
-def orphans(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Fact rows without a dimension row, per key; a NULL key counts.
+def key_profile(fact: DataFrame, keys: Sequence[str], flag: Column | None = None) -> DataFrame:
+    """Rows per value of each key, and rows and flagged rows of the whole fact.
 
-    `dims` maps the key column to its dimension. The fact is first counted per key value,
-    so a key shared by very many rows travels as one row.
+    One scan: grouping sets over the keys, with `llave` the key that a row is about, NULL on
+    the row of the whole. Rows are summed per task before they are shuffled, so a value
+    shared by very many rows travels as one row. The result has one row per value of a
+    dimension; it is stored, as every check reads it.
     """
+    columns = [F.col(k) for k in keys]
+    counted = fact.groupingSets([[c] for c in columns] + [[]], *columns).agg(
+        F.count("*").alias("n"),
+        F.count_if(F.lit(False) if flag is None else flag).alias("marcados"),
+        F.grouping_id().alias("__out"),
+    )
+    whole = (1 << len(keys)) - 1
+    about = F.lit(None).cast("string")
+    for i, key in enumerate(keys):
+        about = F.when(F.col("__out") == whole - (1 << (len(keys) - 1 - i)), key).otherwise(about)
+    return freeze(counted.withColumn("llave", about).drop("__out"), "profile")
+
+
+def orphans_of(profile: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Fact rows without a dimension row, per key of a `key_profile`; a NULL key counts."""
     parts = []
     for key, dim in dims.items():
-        per_key = fact.groupBy(key).agg(F.count("*").alias("n"))
-        missing = per_key.join(dim.select(key), key, "left_anti")
+        values = profile.filter(F.col("llave") == key).select(key, "n")
+        missing = values.join(dim.select(key), key, "left_anti")
         parts.append(
             missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("huerfanos")).select(
                 F.lit(key).alias("llave"), "huerfanos"
@@ -37,6 +55,18 @@ def orphans(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     return union_all(parts)
 
 
+def flagged(profile: DataFrame) -> DataFrame:
+    return profile.filter(F.col("llave").isNull()).select(F.col("marcados").alias("n"))
+
+
+def orphans(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Fact rows without a dimension row, per key; a NULL key counts.
+
+    `dims` maps the key column to its dimension.
+    """
+    return orphans_of(key_profile(fact, list(dims)), dims)
+
+
 @dataclass(frozen=True)
 class Check:
     """A named check whose one-row, one-column frame holds the observed count."""
