@@ -107,6 +107,8 @@ class Aligner:
         self.b = SentencePieceProcessor(model_file=path_b)
         byte_of = {letter: n for n, letter in enumerate(byte_letters())}
         vocab = self.a.get_vocab(with_added_tokens=False)
+        if self.a.normalizer is not None:
+            raise ValueError("the first tokenizer has to be byte-level, without normaliser")
         self.a_bytes = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.a_bytes[i] = bytes(byte_of.get(c, 0) for c in token)
@@ -194,9 +196,9 @@ class Aligner:
         data = text.encode()
         a, a_ends = self._a_tokens(text)
         b, b_ends = self._b_tokens(text)
-        for ids, table in ((a, self.a_bytes), (b, self.b_bytes)):
-            if b"".join([table[i] for i in ids.tolist()]) != data:
-                return None
+        # A has no normaliser, so its bytes are the text's; B's are compared.
+        if b"".join([self.b_bytes[i] for i in b.tolist()]) != data:
+            return None
         both = np.intersect1d(a_ends, b_ends, assume_unique=True)
         a_to, b_to = np.searchsorted(a_ends, both) + 1, np.searchsorted(b_ends, both) + 1
         a_sizes, b_sizes = np.diff(a_to, prepend=0), np.diff(b_to, prepend=0)
@@ -283,13 +285,19 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return _aligners[path_a, path_b]
 
 
+def ids_of(packed: bytes, count: int) -> np.ndarray:
+    """The ids of a column such as `a_ids`, given their number."""
+    return np.frombuffer(packed, "<u2" if len(packed) == 2 * count else "<u4")
+
+
 INTS, LONGS = T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())
 ALIGNED = [
-    # Ids, little-endian, 32 bits each, and a byte per token: 1 on the last of a group.
+    # Ids, little-endian, 16 bits each where the vocabulary allows it, else 32 (see `ids_of`),
+    # and a byte per token: 1 on the last of a group.
     *fields("a_ids binary, b_ids binary, a_last binary, b_last binary"),
     *fields("n_a long, n_b long, n_groups long, n_links long, block long"),
     # What the document links: places in the list of its block, and how often.
-    T.StructField("places", INTS), T.StructField("times", LONGS),
+    T.StructField("places", INTS), T.StructField("times", INTS),
 ]
 # On one row of each block, which is no document.
 LISTED = [T.StructField("pairs", LONGS), T.StructField("holders", INTS)]
@@ -323,7 +331,7 @@ def align(
             texts = rows.column(len(names)).to_pylist()
             found = [work.align(texts[p]) for p in portions([len(t or "") for t in texts], PORTION)]
             parts = {name: Ragged.end_to_end([x[name] for x in found]) for name in PARTS}
-            columns = _block(parts, number)
+            columns = _block(parts, number, (len(work.a_bytes), len(work.b_bytes)))
             kept = [
                 pa.concat_arrays([*c.chunks, pa.nulls(1, c.type)])
                 for c in rows.columns[: len(names)]
@@ -358,8 +366,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(waiting)
 
 
-def _block(parts: dict[str, Ragged], number: int) -> list[pa.Array]:
-    """The columns from `a_ids` on: the documents, and last the row of the block's pairs."""
+def _block(parts: dict[str, Ragged], number: int, ids: tuple[int, int]) -> list[pa.Array]:
+    """The columns from `a_ids` on: the documents, and last the row of the block's pairs.
+    `ids`: the sizes of the vocabularies."""
     linked = parts["pairs"]
     n = len(linked.lengths)
     pairs, places = np.unique(linked.values, return_inverse=True)
@@ -369,12 +378,15 @@ def _block(parts: dict[str, Ragged], number: int) -> list[pa.Array]:
     doc, places = (keys // len(pairs), keys % len(pairs)) if len(pairs) else (keys, keys)
     sizes = np.bincount(doc, minlength=n)
     links = np.bincount(doc, times, n).astype(np.int64)
-    tokens = [parts[name].packed("<i4") for name in ("a_ids", "b_ids")]
+    tokens = [
+        parts[name].packed("<u2" if n_ids <= 1 << 16 else "<u4")
+        for name, n_ids in zip(("a_ids", "b_ids"), ids)
+    ]
     tokens += [_last(parts, side).packed("i1") for side in "ab"]
     counts = [parts[name].lengths for name in ("a_ids", "b_ids", "a_sizes")]
     own = [
         *tokens, *[pa.array(c) for c in (*counts, links, np.full(n, number))],
-        Ragged(places, sizes).arrow(pa.int32()), Ragged(times, sizes).arrow(pa.int64()),
+        Ragged(places, sizes).arrow(pa.int32()), Ragged(times, sizes).arrow(pa.int32()),
     ]
     own = [pa.concat_arrays([c, pa.nulls(1, c.type)]) for c in own]
     own[-3] = pa.array(np.full(n + 1, number))

@@ -415,7 +415,7 @@ def _groups_sha256(a: bytes, b: bytes, a_last: bytes, b_last: bytes) -> str:
     marked, groups = [], []
     for ids, last, mark in ((a, a_last, 1), (b, b_last, 2)):
         ends = np.frombuffer(last, np.int8).astype(np.int64)
-        marked.append(np.frombuffer(ids, "<i4").astype(np.int64) * 4 + ends * mark)
+        marked.append(alignment.ids_of(ids, len(last)).astype(np.int64) * 4 + ends * mark)
         groups.append((np.cumsum(ends) - ends) * 2 + mark - 1)
     order = np.argsort(np.concatenate(groups), kind="stable")
     text = "".join(map(_shown.__getitem__, np.concatenate(marked)[order].tolist()))
