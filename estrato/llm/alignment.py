@@ -25,14 +25,14 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from estrato.llm.bpe import byte_letters, portions
@@ -315,13 +315,19 @@ class Alignment:
 def align(
     docs: DataFrame, path_a: str, path_b: str, text: str = "text",
     keep: tuple[str, ...] = ("doc_id",),
+    derive: tuple[str, Callable[[bytes, bytes, bytes, bytes], str]] | None = None,
 ) -> Alignment:
-    """Aligns every text and stores the result; see `scored` for the corpus-wide counts."""
+    """Aligns every text and stores the result; see `scored` for the corpus-wide counts.
+
+    `derive` names a text column and the function of a_ids, b_ids, a_last and b_last that
+    gives it; it is then stored in place of these four.
+    """
     names = [f"__keep_{i}" for i in range(len(keep))]
     source = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)],
                          F.col(text).alias("__text"))
     own = [T.StructField(n, source.schema[n].dataType) for n in names]
-    schema = T.StructType([*own, *ALIGNED, *LISTED])
+    tokens = ALIGNED[:4] if derive is None else [T.StructField(derive[0], T.StringType())]
+    schema = T.StructType([*own, *tokens, *ALIGNED[4:], *LISTED])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,6 +338,12 @@ def align(
             found = [work.align(texts[p]) for p in portions([len(t or "") for t in texts], PORTION)]
             parts = {name: Ragged.end_to_end([x[name] for x in found]) for name in PARTS}
             columns = _block(parts, number, (len(work.a_bytes), len(work.b_bytes)))
+            if derive is not None:
+                made = [
+                    None if a is None else derive[1](a, *rest)
+                    for a, *rest in zip(*(c.to_pylist() for c in columns[:4]))
+                ]
+                columns = [pa.array(made, pa.string()), *columns[4:]]
             kept = [
                 pa.concat_arrays([*c.chunks, pa.nulls(1, c.type)])
                 for c in rows.columns[: len(names)]
@@ -342,7 +354,8 @@ def align(
 
     stored = freeze(arrow_ready(source).mapInArrow(run, schema), "alignment")
     documents = stored.where(F.col("pairs").isNull()).select(
-        *[F.col(n).alias(c) for c, n in zip(keep, names)], *[f.name for f in ALIGNED]
+        *[F.col(n).alias(c) for c, n in zip(keep, names)],
+        *[f.name for f in (*tokens, *ALIGNED[4:])],
     )
     return Alignment(
         documents, stored.where(F.col("pairs").isNotNull()).select("block", "pairs", "holders")
@@ -427,27 +440,25 @@ def scored(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     `n_best` (links whose pair is the best of its A id) and `count_sum` (sum of the counts of
     all links)."""
     listed = pairs.select("block", F.posexplode("pairs").alias("place", "pair"))
+    # Count and flag as one number, so that a document's sums are plain arithmetic.
+    number = F.shiftleft("held", 1) + F.col("best").cast("long")
     counted = (
-        listed.join(pair_counts(pairs).select("pair", "held", "best"), "pair")
+        listed.join(pair_counts(pairs).select("pair", number.alias("number")), "pair")
         .groupBy("block")
-        .agg(F.array_sort(F.collect_list(F.struct("place", "held", "best"))).alias("__counts"))
-    )
-    link = F.transform(
-        F.arrays_zip("places", "times"),
-        lambda x: F.struct(
-            x["times"].alias("times"),
-            F.element_at("__counts", x["places"] + 1).alias("of"),
-        ),
-    )
-    zero = F.lit(0).cast("long")
-    sums = F.aggregate(
-        link, F.struct(zero.alias("n_best"), zero.alias("count_sum")),
-        lambda acc, x: F.struct(
-            (acc["n_best"] + F.when(x["of"]["best"], x["times"]).otherwise(zero))
-            .alias("n_best"),
-            (acc["count_sum"] + x["times"] * x["of"]["held"]).alias("count_sum"),
-        ),
+        .agg(F.array_sort(F.collect_list(F.struct("place", "number"))).alias("__sorted"))
+        .select("block", F.col("__sorted.number").alias("__numbers"))
     )
-    rows = documents.join(counted, "block", "left").withColumn("__sums", sums)
+
+    def total(value) -> Column:
+        links = F.zip_with(
+            "places", "times", lambda place, times: times * value(F.get("__numbers", place))
+        )
+        return F.aggregate(links, F.lit(0).cast("long"), lambda a, x: a + x)
+
+    sums = {
+        "n_best": total(lambda n: n.bitwiseAND(F.lit(1).cast("long"))),
+        "count_sum": total(lambda n: F.shiftright(n, 1)),
+    }
+    rows = documents.join(counted, "block", "left")
     names = [c for c in documents.columns if c not in ("block", "places", "times")]
-    return rows.select(*names, F.col("__sums.n_best"), F.col("__sums.count_sum"))
+    return rows.select(*names, *[value.alias(name) for name, value in sums.items()])

@@ -376,24 +376,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = alignment.align(
         table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
-        tokenizer_path("piece_bpe_32k.model"),
+        tokenizer_path("piece_bpe_32k.model"), derive=("groups_sha256", _groups_sha256),
     )
-    tokens = ["a_ids", "b_ids", "a_last", "b_last"]
-    rest = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "block", "places", "times"]
-    schema = T.StructType(
-        [*[found.documents.schema[c] for c in rest], *fields("groups_sha256 string")]
-    )
-    arrow = to_arrow_schema(schema)
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids_and_ends = zip(*(c.to_pylist() for c in batch.columns[: len(tokens)]))
-            digests = pa.array([_groups_sha256(*x) for x in ids_and_ends], pa.string())
-            columns = [c.cast(f.type) for c, f in zip(batch.columns[len(tokens):], arrow)]
-            yield pa.RecordBatch.from_arrays([*columns, digests], schema=arrow)
-
-    digested = map_batches(found.documents.select(*tokens, *rest), digest, schema)
-    return alignment.scored(digested, found.pairs)
+    return alignment.scored(found.documents, found.pairs)
 
 
 class _Shown(dict):
