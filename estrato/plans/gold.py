@@ -245,9 +245,18 @@ def active_accounts(portfolio: DataFrame, dim_clients: DataFrame) -> DataFrame:
 def transaction_volume(
     transactions: DataFrame, dim_clients: DataFrame, geography: DataFrame
 ) -> DataFrame:
+    """Totals per day, product, segment, city of the movement and channel of the client.
+
+    Movements are first summed per client, day, product and place: a client with very many
+    rows travels as few. Segment and channel depend on the client alone, so sums of sums
+    are the totals.
+    """
     place = geography.select("geografia_key", "ciudad")
+    summed = transactions.groupBy(
+        "cliente_key", "fec_mov", "producto_key", "geografia_key"
+    ).agg(F.count("*").alias("n"), F.sum("monto_cop").alias("monto"))
     return (
-        _with_client(transactions, dim_clients, "segmento_legible", "canal_adquis")
+        _with_client(summed, dim_clients, "segmento_legible", "canal_adquis")
         .join(place, "geografia_key", "left")
         .groupBy(
             F.col("fec_mov").alias("fecha"),
@@ -257,8 +266,8 @@ def transaction_volume(
             F.col("canal_adquis").alias("canal"),
         )
         .agg(
-            F.count("*").alias("total_transacciones"),
-            money(F.sum("monto_cop")).alias("volumen_transaccional"),
+            F.sum("n").alias("total_transacciones"),
+            money(F.sum("monto")).alias("volumen_transaccional"),
         )
     )
 

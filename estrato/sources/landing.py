@@ -35,7 +35,8 @@ def read_csv(
     """Header row, optional UTF-8 byte-order mark, empty fields as NULL.
 
     Columns go by the names in the header, whatever their order; a missing one is an error,
-    others are left out. Quotes inside a quoted field are doubled. Fields with line breaks
+    others are left out. All files of a folder have the header of the first: one that differs
+    stops the read instead of giving columns the wrong values. Quotes inside a quoted field are doubled. Fields with line breaks
     need `multiline`, at the price that a file is then read by one task.
     """
     options = {**CSV, "multiLine": str(multiline).lower()}
@@ -45,11 +46,11 @@ def read_csv(
     if missing:
         raise ValueError(f"{path} has no column {', '.join(sorted(missing))}")
     text = T.StringType()
-    ordered = T.StructType([
-        known.get(name.lstrip("\ufeff").lower(), T.StructField(name, text)) for name in header
-    ])
-    raw = spark.read.schema(ordered).options(**options, mode="FAILFAST")
-    return _typed(raw.csv(path), schema)
+    found = [known.get(name.lstrip("\ufeff").lower(), T.StructField(name, text)) for name in header]
+    # Under the names of the header, which Spark then compares with every file.
+    named = T.StructType([T.StructField(n, f.dataType) for n, f in zip(header, found)])
+    raw = spark.read.schema(named).options(**options, mode="FAILFAST", enforceSchema="false")
+    return _typed(raw.csv(path).toDF(*[f.name for f in found]), schema)
 
 
 def read_json(

@@ -274,3 +274,26 @@ def test_a_day_is_written_to_few_files(spark, folder):
     assert done["rows"] == 10_000 and len(done["folders"]) == 30
     files = glob.glob(f"{folder}/days/*/*/*/*/*.parquet")
     assert len(files) <= 30 + int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_files_of_a_folder_with_other_headers_stop_the_read(spark, folder):
+    schema = model.T.StructType.fromDDL("a string, b int")
+
+    def put(name, text, mark=False):
+        with open(f"{folder}/{name}.csv", "w", encoding="utf-8-sig" if mark else "utf-8") as f:
+            f.write(text)
+
+    put("one", "a,b\nx,1\n")
+    put("two", "a,b\ny,2\n")
+    assert rows(landing.read_csv(spark, folder, schema)) == [("x", 1), ("y", 2)]
+    put("three", "b,a\n7,8\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        landing.read_csv(spark, folder, schema).collect()
+
+
+def test_a_byte_order_mark_in_some_files(spark, folder):
+    schema = model.T.StructType.fromDDL("a string, b int")
+    for name, code in (("one", "utf-8"), ("two", "utf-8-sig")):
+        with open(f"{folder}/{name}.csv", "w", encoding=code) as f:
+            f.write(f"a,b\n{name},1\n")
+    assert rows(landing.read_csv(spark, folder, schema)) == [("one", 1), ("two", 1)]
