@@ -52,16 +52,16 @@ BASE_RULES = (
     Rule("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18, ("akia",)),
     Rule("hex", re.compile(r"[0-9a-f]{16,}")),
 )
-# From the header to the END line that comes before any other header; without one, the lines of
-# base64 and the header fields that follow. Line ends may be escaped, indented or quoted.
+# The header, the lines of base64 and header fields that follow, and the END line if it comes
+# next; text of another kind ends the span. Line ends may be escaped, indented or quoted.
 PEM = re.compile(
     r"""-----BEGIN\x20[A-Z ]{0,30}PRIVATE\x20KEY-----
-    (?: (?:(?!-----BEGIN\x20)[\s\S])*?-----END\x20[A-Z ]{0,30}PRIVATE\x20KEY-----
-    | (?: (?:\s|\\+[nrt]|["'`,;>|#*+&\\])*+
+    (?: (?:\s|\\+[nrt]|["'`,;>|#*+&\\])*+
         (?: [A-Za-z][A-Za-z0-9-]*:\x20[^\n\\]*+
-          | (?:[A-Za-z0-9/]|\+(?=[A-Za-z0-9+/=])|\\/)++={0,2}+ (?=[\s"'`,;\\+]*(?:[\r\n]|\\+[nr]|\Z))
+          | (?:[A-Za-z0-9/]|\+(?=[A-Za-z0-9+/=])|\\/)++={0,2}+
+            (?=[\s"'`,;\\+]*(?:[\r\n]|\\+[nr]|-----END\x20|\Z))
           | (?:[A-Za-z0-9+/]|\\/){40,}+={0,2}+ ) )*+
-    )""",
+    (?: (?:\s|\\+[nrt]|["'`,;>|#*+&\\])*+ -----END\x20[A-Z ]{0,30}PRIVATE\x20KEY----- )?+""",
     re.VERBOSE,
 )
 RULES = BASE_RULES + (

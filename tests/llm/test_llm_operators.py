@@ -165,6 +165,19 @@ def test_redaction_leaves_no_byte_of_a_key(spark):
     assert [clean[i] for i in range(len(texts))] == expected
 
 
+def test_prose_between_the_marks_of_a_key_stays(spark):
+    head, foot = "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----"
+    prose = "plain prose of many words " * 700
+    texts = [
+        f"Use {head} as the header {prose}... {foot} done", f"{head}MIIEabc=={foot} tail",
+        f"{head} {prose}",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert clean[0] == texts[0].replace(head, "[secret]")
+    assert clean[1] == "[secret] tail" and clean[2] == texts[2].replace(head, "[secret]")
+
+
 # -- Jaccard join --------------------------------------------------------------------------
 
 
