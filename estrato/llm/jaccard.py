@@ -11,13 +11,16 @@ sets share a token, while unrelated texts that share a frequent phrase hardly ev
    group, with one posting per token and task.
 2. Tokens of several groups give lists of groups, the same list once per task; groups are
    expanded to classes there, and a group of several classes is a list too.
-3. Round one pairs the members of a list with its middle one, round two those that are not yet
-   connected. Sizes and the distance of two sketches of 256 buckets, a lower bound for D,
-   drop pairs before they leave the task; whole sets decide on the rest.
+3. Round one pairs the members of a list with its middle one. Sizes and the distance of two
+   sketches of 256 buckets, a lower bound for D, drop pairs before they leave the task; whole
+   sets decide on the rest.
+4. Round two takes from each list the members that size and sketch allow to be linked with
+   one of another component, and brings their whole sets together. The list is decided there
+   and puts out only links that join two components.
 
-Every linked pair is in some list, so it is verified or already connected when round two
-ends: the components are exact, yet a group of near copies costs pairs in proportion to its
-size, not to its square.
+Every linked pair is in some list, so it is verified or connected when round two ends: the
+components are exact. No pair that is no link leaves a task of round two, and a list puts out
+fewer links than it has members, so rows grow with the lists and not with their square.
 
 Null or empty text, or one without words, has an empty set and is linked with nothing. Rows
 that share a doc_id, or have none, are judged each by its own text. Long texts enter whole; other columns
@@ -42,6 +45,8 @@ from estrato.llm.words import Words, mix, shingle_sets
 from estrato.workspace import freeze
 
 BUCKETS = 256
+# Shingles of a list that one pass over its members holds as codes.
+BLOCK_SHINGLES = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -193,6 +198,7 @@ def listed(posted: DataFrame) -> DataFrame:
 
 
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+OPEN = pa.schema([("list", pa.int64()), ("class", pa.int64()), ("root", pa.int64())])
 
 
 def class_lists(docs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
@@ -221,79 +227,156 @@ class Members:
         sketches = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
         return Members(*columns, sketches.reshape(-1, BUCKETS))
 
-    def near(self, i: int, others: np.ndarray, like: Likeness) -> set[tuple[int, int]]:
-        """Pairs of member i and those of another root that size and sketch allow."""
+    def near(self, i: int, others: np.ndarray, like: Likeness) -> np.ndarray:
+        """Those of the other members with another root that size and sketch allow."""
         n, m = self.sizes[others], self.sizes[i]
         sized = (like.part * np.maximum(n, m) <= like.whole * np.minimum(n, m))
-        others = others[sized & (self.roots[others] != self.roots[i])]
-        pairs = set()
+        others, found = others[sized & (self.roots[others] != self.roots[i])], []
         for low in range(0, len(others), 4096):
             some = others[low : low + 4096]
             apart = self.sketches[some] - self.sketches[i]
             apart = np.minimum(apart, -apart).sum(axis=1, dtype=np.int64)
-            some = some[like.near(apart, self.sizes[some], self.sizes[i])]
-            c = int(self.classes[i])
-            pairs.update((min(c, int(o)), max(c, int(o))) for o in self.classes[some])
-        return pairs
+            found.append(some[like.near(apart, self.sizes[some], self.sizes[i])])
+        return np.concatenate(found) if found else others
 
-    def middle(self, like: Likeness) -> set[tuple[int, int]]:
-        """Pairs of all members with the one nearest to the list's mean sketch."""
+    def middle(self) -> int:
+        """The member nearest to the list's mean sketch."""
         mean = np.zeros(BUCKETS)
         for low in range(0, len(self.classes), 4096):
             mean += self.sketches[low : low + 4096].sum(axis=0)
         mean = (mean / len(self.classes)).round().astype(np.int16)
-        apart = [int(np.abs(s.astype(np.int16) - mean).sum()) for s in self.sketches]
-        return self.near(int(np.argmin(apart)), np.arange(len(self.classes)), like)
-
-    def crossing(self, like: Likeness) -> set[tuple[int, int]]:
-        """Pairs of all members."""
-        pairs: set[tuple[int, int]] = set()
+        return int(np.argmin([int(np.abs(s.astype(np.int16) - mean).sum()) for s in self.sketches]))
+
+    def middle_pairs(self, like: Likeness) -> list[tuple[int, int]]:
+        i = self.middle()
+        c = int(self.classes[i])
+        others = self.classes[self.near(i, np.arange(len(self.classes)), like)]
+        return [(min(c, o), max(c, o)) for o in others.tolist()]
+
+    def open_members(self, like: Likeness) -> list[tuple[int, int, int]]:
+        """(list, class, root) of the members that may be linked with one of another root; the
+        middle one has been tried with all. The list is named by its members."""
+        middle, open_ = self.middle(), np.zeros(len(self.classes), bool)
         for i in range(len(self.classes) - 1):
             end = np.searchsorted(self.sizes, like.whole * self.sizes[i] // like.part, "right")
-            pairs |= self.near(i, np.arange(i + 1, end), like)
-        return pairs
-
-
-def list_pairs(
-    lists: DataFrame, classes: DataFrame, roots: DataFrame | None, like: Likeness
-) -> DataFrame:
-    """Pairs of classes: without roots, of each list's members with its middle one; else of
-    all members that lie in different components."""
-    all_pairs = roots is not None
-    own = F.col("class")
-    if all_pairs:
-        classes = classes.join(roots.withColumnRenamed("node", "class"), "class", "left")
-        own = F.coalesce("root", "class")
-    rooted = classes.select("group", "class", "n", "sketch", own.alias("root"))
-    rows = lists.join(rooted.select("group", "class", "root"), "group").drop("group")
-    mixed = rows.groupBy("list").agg(
-        F.min("root").alias("low"), F.max("root").alias("high")
-    ).filter("low <> high").select("list")
-    rows = rows.join(mixed, "list").join(rooted.select("class", "n", "sketch"), "class")
-
-    def scan(rows: list[tuple]) -> set[tuple[int, int]]:
-        members = Members.of(rows)
-        return members.crossing(like) if all_pairs else members.middle(like)
+            found = self.near(i, np.arange(i + 1, end), like)
+            found = found[found != middle]
+            if i != middle and len(found):
+                open_[i] = True
+                open_[found] = True
+        classes, roots = self.classes[open_], self.roots[open_]
+        name = _hash64(np.sort(classes).tobytes())
+        return [(name, c, r) for c, r in zip(classes.tolist(), roots.tolist())]
+
+
+def spanning_links(
+    classes: list[int], roots: list[int], sets: list[np.ndarray], like: Likeness
+) -> list[tuple[int, int]]:
+    """Links that connect all linked members of a list, none between members connected before.
+
+    Whole sets decide. Members of the largest component are not tried with each other; every
+    link returned joins two components, so there are fewer links than members.
+    """
+    _, part, size = np.unique(np.array(roots, np.int64), return_inverse=True, return_counts=True)
+    order = np.argsort(part == np.argmax(size), kind="stable")
+    probes = len(order) - int(size.max())
+    part, sets = part[order], [sets[i] for i in order]
+    classes = [classes[i] for i in order]
+    n = np.array([len(s) for s in sets], np.int64)
+    links: list[tuple[int, int]] = []
+    low = 0
+    while low < len(sets):
+        high = max(low + 1, int(np.searchsorted(np.cumsum(n[low:]), BLOCK_SHINGLES, "right")) + low)
+        flat = np.concatenate(sets[low:high])
+        words = np.unique(flat)
+        codes = np.searchsorted(words, flat).astype(np.int32)
+        starts = np.concatenate(([0], np.cumsum(n[low:high])[:-1]))
+        held = np.zeros(len(words), bool)
+        for j in range(min(probes, high - 1)):
+            first = max(low, j + 1)
+            if (part[first:high] == part[j]).all():
+                continue
+            at = np.minimum(np.searchsorted(words, sets[j]), len(words) - 1)
+            at = at[words[at] == sets[j]]
+            held[at] = True
+            begin = starts[first - low]
+            common = np.add.reduceat(
+                held[codes[begin:]], starts[first - low :] - begin, dtype=np.int64
+            )
+            held[at] = False
+            linked = like.whole * common >= like.part * (n[j] + n[first:high] - common)
+            for i in (np.flatnonzero(linked & (part[first:high] != part[j])) + first).tolist():
+                if part[i] != part[j]:
+                    links.append((min(classes[i], classes[j]), max(classes[i], classes[j])))
+                    part[part == part[i]] = part[j]
+        low = high
+    return links
+
+
+def _each_list(rows: DataFrame, scan, out: pa.Schema, ddl: str) -> DataFrame:
+    """What scan(rows of one list) returns, for every list; the first column names the list.
+    The same rows are put out once per pair of neighbouring batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        seen: set[tuple[int, int]] = set()
+        seen: set[tuple] = set()
         for batch in batches:
-            pairs: set[tuple[int, int]] = set()
+            found: set[tuple] = set()
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and held[0][0] != row[0]:
-                    pairs |= scan(held)
+                    found.update(scan(held))
                     held = []
                 held.append(row)
-            yield record(PAIR, list(pairs - seen))
-            seen = pairs
+            yield record(out, list(found - seen))
+            seen = found
         if held:
-            yield record(PAIR, list(scan(held) - seen))
+            yield record(out, list(set(scan(held)) - seen))
+
+    return arrow_ready(rows).mapInArrow(run, ddl)
 
-    ordered = rows.select("list", "class", "root", "n", "sketch").repartition(
+
+def _list_rows(lists: DataFrame, rooted: DataFrame, least: int) -> DataFrame:
+    """list, class, root, n and sketch of the lists with several roots and `least` members."""
+    rows = lists.join(rooted.select("group", "class", "root"), "group").drop("group")
+    mixed = rows.groupBy("list").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")
+    ).filter((F.col("low") != F.col("high")) & (F.col("members") >= least)).select("list")
+    rows = rows.join(mixed, "list").join(rooted.select("class", "n", "sketch"), "class")
+    return rows.select("list", "class", "root", "n", "sketch").repartition(
         "list"
     ).sortWithinPartitions("list", "n", "class")
-    return ordered.mapInArrow(run, "a long, b long")
+
+
+def middle_pairs(lists: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
+    """Round one: pairs of each list's members with its middle one."""
+    rows = _list_rows(lists, classes.withColumn("root", F.col("class")), 2)
+    return _each_list(rows, lambda r: Members.of(r).middle_pairs(like), PAIR, "a long, b long")
+
+
+def open_lists(
+    lists: DataFrame, classes: DataFrame, roots: DataFrame, like: Likeness
+) -> DataFrame:
+    """(list, class, root): what round two has to look at, never more rows than the lists."""
+    rooted = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
+        "root", F.coalesce("root", "class")
+    )
+    return _each_list(
+        _list_rows(lists, rooted, 3), lambda r: Members.of(r).open_members(like), OPEN,
+        "list long, class long, root long",
+    ).distinct()
+
+
+def list_links(opened: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """Round two: links between the components of each open list, by whole sets."""
+
+    def scan(rows: list[tuple]) -> list[tuple[int, int]]:
+        _, classes, roots, hashes = zip(*rows)
+        return spanning_links(classes, roots, [np.frombuffer(h, np.uint64) for h in hashes], like)
+
+    rows = opened.join(sets.hint("merge"), "class").select("list", "class", "root", "hashes")
+    return _each_list(
+        rows.repartition("list").sortWithinPartitions("list", "class"), scan, PAIR, "a long, b long"
+    )
 
 
 # -- verification ------------------------------------------------------------------------
@@ -365,11 +448,10 @@ def _joined(docs: DataFrame, like: Likeness) -> tuple[DataFrame, DataFrame, Data
     lists = freeze(class_lists(docs, classes, like), "jaccard-lists")
     listed_ = classes.join(lists.select("group").distinct(), "group", "left_semi")
     sets = freeze(sets_of(docs, listed_, like), "jaccard-sets")
-    middle = freeze(distinct_pairs(list_pairs(lists, classes, None, like)), "jaccard-pairs")
+    middle = freeze(distinct_pairs(middle_pairs(lists, classes, like)), "jaccard-pairs")
     links = verified(sets, middle, like)
-    crossing = distinct_pairs(list_pairs(lists, classes, connected(links), like))
-    crossing = freeze(crossing.join(middle, ["a", "b"], "left_anti"), "jaccard-pairs")
-    links = links.unionByName(verified(sets, crossing, like))
+    opened = freeze(open_lists(lists, classes, connected(links), like), "jaccard-open")
+    links = links.unionByName(freeze(list_links(opened, sets, like), "jaccard-links"))
     return signed, classes, connected(links).withColumnRenamed("node", "class")
 
 

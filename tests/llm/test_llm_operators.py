@@ -223,6 +223,67 @@ def test_chains_of_near_copies_and_cluster_edges(spark):
     assert set(rows_of(jaccard.components(docs, like))) == brute_components(texts, like)
 
 
+def test_copies_of_one_template_with_scattered_edits(spark):
+    """2,000 copies whose edits leave many of them just below the likeness."""
+    like, rng = jaccard.Likeness(), np.random.default_rng(5)
+    base = prose(300).split()
+    texts = {}
+    for i in range(2000):
+        words = list(base)
+        for at in rng.choice(300, rng.integers(2, 10), replace=False):
+            words[at] = f"e{rng.integers(1 << 40)}"
+        texts[i] = " ".join(words)
+    texts |= {5000 + i: prose(100, salt=i) for i in range(3)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r[0]: r[2] for r in rows_of(jaccard.components(docs, like))}
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts.values())]
+    names = {}
+    flat = [[names.setdefault(x, len(names)) for x in s] for s in sets]
+    held, ids = np.zeros(len(names), bool), list(texts)
+    parent = np.arange(len(ids))
+    starts, every = np.cumsum([0] + [len(f) for f in flat[:-1]]), np.concatenate(flat)
+    n = np.array([len(f) for f in flat])
+    for i in range(len(ids)):
+        held[flat[i]] = True
+        common = np.add.reduceat(held[every], starts, dtype=np.int64)
+        held[flat[i]] = False
+        for root in np.unique(parent[100 * common >= 80 * (n + n[i] - common)]):
+            low, high = sorted((parent[i], root))
+            parent[parent == high] = low
+    assert found == {d: ids[parent[i]] for i, d in enumerate(ids)}
+    assert len(set(found.values())) > 4  # some copies stay alone
+
+
+@pytest.mark.parametrize("block", [1, 100, 1 << 21])
+def test_links_of_a_list_connect_what_is_linked(monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", block)
+    like, rng = jaccard.Likeness(), np.random.default_rng(3)
+    base = np.arange(1, 41, dtype=np.uint64)
+    sets = []
+    for _ in range(60):
+        s = np.where(rng.random(40) < 0.1, rng.integers(100, 10**9, 40).astype(np.uint64), base)
+        sets.append(np.unique(s))
+    roots = [i % 7 if i % 2 else 100 + i for i in range(60)]
+    links = jaccard.spanning_links(list(range(60)), roots, sets, like)
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        common = len(np.intersect1d(sets[a], sets[b]))
+        assert 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common)
+        assert find(roots[a]) != find(roots[b])
+        root[find(roots[a])] = find(roots[b])
+    for a in range(60):
+        for b in range(a):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                assert find(roots[a]) == find(roots[b])
+
+
 def test_one_row_of_each_group_stays(spark):
     clean, near = prose(60, 3), prose(60, 9)
     copy = near.rsplit(" ", 1)[0]
