@@ -15,7 +15,8 @@ sets share a token, while unrelated texts that share a frequent phrase hardly ev
    sketches of 256 buckets, a lower bound for D, drop pairs before they leave the task; whole
    sets decide on the rest.
 4. Round two takes from each list the members that size and sketch allow to be linked with
-   one of another component, and brings their whole sets together. The list is decided there
+   one of another component. Lists that hang on one component are merged, so a class comes
+   once to each component it is near, with its whole set. The merged list is decided there
    and puts out only links that join two components.
 
 Every linked pair is in some list, so it is verified or connected when round two ends: the
@@ -47,6 +48,8 @@ from estrato.workspace import freeze
 BUCKETS = 256
 # Shingles of a list that one pass over its members holds as codes.
 BLOCK_SHINGLES = 1 << 21
+# Members of a hub's own component that one part of its list holds.
+PART_MEMBERS = 2000
 
 
 @dataclass(frozen=True)
@@ -198,7 +201,7 @@ def listed(posted: DataFrame) -> DataFrame:
 
 
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-OPEN = pa.schema([("list", pa.int64()), ("class", pa.int64()), ("root", pa.int64())])
+OPEN = pa.schema([("hub", pa.int64()), ("class", pa.int64()), ("root", pa.int64())])
 
 
 def class_lists(docs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
@@ -254,8 +257,8 @@ class Members:
         return [(min(c, o), max(c, o)) for o in others.tolist()]
 
     def open_members(self, like: Likeness) -> list[tuple[int, int, int]]:
-        """(list, class, root) of the members that may be linked with one of another root; the
-        middle one has been tried with all. The list is named by its members."""
+        """(hub, class, root) of the members that may be linked with one of another root; the
+        middle one has been tried with all. The hub is the root that most of them have."""
         middle, open_ = self.middle(), np.zeros(len(self.classes), bool)
         for i in range(len(self.classes) - 1):
             end = np.searchsorted(self.sizes, like.whole * self.sizes[i] // like.part, "right")
@@ -264,9 +267,11 @@ class Members:
             if i != middle and len(found):
                 open_[i] = True
                 open_[found] = True
-        classes, roots = self.classes[open_], self.roots[open_]
-        name = _hash64(np.sort(classes).tobytes())
-        return [(name, c, r) for c, r in zip(classes.tolist(), roots.tolist())]
+        if not open_.any():
+            return []
+        names, times = np.unique(self.roots[open_], return_counts=True)
+        hub = int(names[np.argmax(times)])
+        return [(hub, c, r) for c, r in zip(self.classes[open_].tolist(), self.roots[open_].tolist())]
 
 
 def spanning_links(
@@ -314,8 +319,7 @@ def spanning_links(
 
 
 def _each_list(rows: DataFrame, scan, out: pa.Schema, ddl: str) -> DataFrame:
-    """What scan(rows of one list) returns, for every list; the first column names the list.
-    The same rows are put out once per pair of neighbouring batches."""
+    """What scan(rows of one list) returns, for every list; the first column names the list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -356,14 +360,28 @@ def middle_pairs(lists: DataFrame, classes: DataFrame, like: Likeness) -> DataFr
 def open_lists(
     lists: DataFrame, classes: DataFrame, roots: DataFrame, like: Likeness
 ) -> DataFrame:
-    """(list, class, root): what round two has to look at, never more rows than the lists."""
+    """(list, class, root): what round two has to look at.
+
+    Lists with one hub are one list, so near copies that share a hundred tokens meet once. In
+    a long one the hub's own members, which are connected, are dealt into parts; the others
+    go to every part.
+    """
     rooted = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "root", F.coalesce("root", "class")
     )
-    return _each_list(
+    opened = freeze(_each_list(
         _list_rows(lists, rooted, 3), lambda r: Members.of(r).open_members(like), OPEN,
-        "list long, class long, root long",
-    ).distinct()
+        "hub long, class long, root long",
+    ).distinct(), "jaccard-open")
+    own = F.col("hub") == F.col("root")
+    parts = opened.filter(own).groupBy("hub").agg(
+        F.ceil(F.count("*") / PART_MEMBERS).cast("int").alias("parts")
+    )
+    dealt = opened.join(parts, "hub", "left").withColumn("part", F.explode(
+        F.when(own, F.array((F.abs(F.hash("class")) % F.col("parts")).cast("int")))
+        .otherwise(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
+    ))
+    return dealt.select(F.xxhash64("hub", "part").alias("list"), "class", "root")
 
 
 def list_links(opened: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
@@ -450,7 +468,7 @@ def _joined(docs: DataFrame, like: Likeness) -> tuple[DataFrame, DataFrame, Data
     sets = freeze(sets_of(docs, listed_, like), "jaccard-sets")
     middle = freeze(distinct_pairs(middle_pairs(lists, classes, like)), "jaccard-pairs")
     links = verified(sets, middle, like)
-    opened = freeze(open_lists(lists, classes, connected(links), like), "jaccard-open")
+    opened = freeze(open_lists(lists, classes, connected(links), like), "jaccard-dealt")
     links = links.unionByName(freeze(list_links(opened, sets, like), "jaccard-links"))
     return signed, classes, connected(links).withColumnRenamed("node", "class")
 

@@ -223,8 +223,9 @@ def test_chains_of_near_copies_and_cluster_edges(spark):
     assert set(rows_of(jaccard.components(docs, like))) == brute_components(texts, like)
 
 
-def test_copies_of_one_template_with_scattered_edits(spark):
+def test_copies_of_one_template_with_scattered_edits(spark, monkeypatch):
     """2,000 copies whose edits leave many of them just below the likeness."""
+    monkeypatch.setattr(jaccard, "PART_MEMBERS", 150)
     like, rng = jaccard.Likeness(), np.random.default_rng(5)
     base = prose(300).split()
     texts = {}
