@@ -477,27 +477,55 @@ def test_query_finds_the_items_that_texts_contain(spark, documents):
 # -- repeated lines --------------------------------------------------------------------------
 
 
+PLACES = ["doc_id", "start", "end", "first_doc_id", "first_start", "first_end", "occurrences"]
+
+
+def removed(found):
+    return {tuple(r) for r in found.filter("not kept").select(PLACES).collect()}
+
+
 def test_repeated_lines(spark, documents):
-    first, expected = {}, set()
+    first, expected, times = {}, set(), collections.Counter()
     for d in sorted(documents):
         at = 0
         for line in (documents[d] or "").split("\n"):
             key, end = tuple(line.encode().lower().split()), at + len(line)
             if len(key) >= linededup.MIN_WORDS:
+                times[key] += 1
                 if key in first:
                     expected.add((d, at, end, *first[key]))
                 else:
                     first[key] = (d, at, end)
             at = end + 1
-    assert {r[:6] for r in rows_of(q.op9(spark, SF))} == expected
+    found = q.op9(spark, SF)
+    assert {r[:6] for r in removed(found)} == expected
+    kept = [tuple(r) for r in found.filter("kept").select(PLACES[:3] + PLACES[6:] + ["words"]).collect()]
+    assert sorted(kept) == sorted(
+        (*first[k], n, len(k)) for k, n in times.items() if n > 1
+    )
+
+
+def test_rows_with_one_id_or_none_are_told_apart(spark):
+    texts = [(1, "a"), (1, "b"), (None, "c"), (None, "d"), (None, "e")]
+    docs = spark.createDataFrame(
+        [(i, f"one shared line\n{t}", t) for i, t in texts], "doc_id long, text string, kept string"
+    )
+    found = linededup.repeats(docs).collect()
+    assert len(found) == 5 and sum(not r["kept"] for r in found) == 4
+    assert {r["occurrences"] for r in found} == {5} and {r["words"] for r in found} == {3}
+    assert [r["doc_id"] for r in found if r["kept"]] == [None]
+    twice = spark.createDataFrame([(1, "x y"), (1, "x y"), (2, "X  y")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["kept"]) for r in linededup.repeats(twice).collect()) == [
+        (1, True), (1, True), (2, False)
+    ]
 
 
 def test_short_lines_repeat_too(spark):
     texts = ["Home | News\n\nMenu\nonce", " home |  NEWS\r\n \t\nmenu", None, "Menu"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = {tuple(r) for r in linededup.repeats(docs).collect()}
+    found = removed(linededup.repeats(docs))
     assert found == {(1, 0, 14, 0, 0, 11, 2), (1, 18, 22, 0, 13, 17, 3), (3, 0, 4, 0, 13, 17, 3)}
-    longer = {tuple(r)[:2] for r in linededup.repeats(docs, min_words=2).collect()}
+    longer = {r[:2] for r in removed(linededup.repeats(docs, min_words=2))}
     assert longer == {(1, 0)}
 
 
@@ -512,7 +540,7 @@ def test_every_repeated_line_of_the_query(spark, documents):
             if key:
                 seen.add(key)
             at += len(line) + 1
-    assert {r[:3] for r in rows_of(q.op9(spark, SF))} == expected
+    assert {r[:3] for r in removed(q.op9(spark, SF))} == expected
 
 
 def test_paragraphs_and_rank(spark):
@@ -520,7 +548,8 @@ def test_paragraphs_and_rank(spark):
     docs = [(1, text, 5.0), (2, "intro\n\n" + text.upper(), 1.0)]
     docs = spark.createDataFrame(docs, "doc_id long, text string, score double")
     found = linededup.repeats(docs, "paragraph", rank=F.col("score"))
-    assert rows(found.select("doc_id", "start", "first_doc_id")) == [(1, 2, 0), (1, 2, 35)]
+    gone = found.filter("not kept")
+    assert rows(gone.select("doc_id", "start", "first_doc_id")) == [(1, 2, 0), (1, 2, 35)]
 
 
 # -- chat, quality, reputation -----------------------------------------------------------------
@@ -599,7 +628,7 @@ OPERATORS = {
     "keep_first": (lambda d: jaccard.keep_first(d), 10),
     "substrings": (lambda d: substrings.mark_repeats(d), 11),
     "pack": (lambda d: packing.pack(d, q.tokenizer_path()), None),
-    "lines": (lambda d: linededup.repeats(d), 1),
+    "lines": (lambda d: linededup.repeats(d), 4),
     "quality": (lambda d: quality.judged(d), 11),
 }
 
