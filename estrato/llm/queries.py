@@ -160,7 +160,7 @@ h AS (
     SELECT doc_id, CASE WHEN toxic = 1 OR quality = 0 THEN 1
       WHEN toxic IS NOT NULL AND quality IS NOT NULL THEN 0 END AS bad FROM labels
   ) l ON q.page_id = l.doc_id
-  GROUP BY host
+  WHERE host <> '' GROUP BY host
 ),
 hosts AS (
   SELECT *, array_to_string(parts[CASE WHEN wide THEN -2 ELSE -1 END:], '.') AS suffix,
@@ -184,24 +184,26 @@ fits AS (
   SELECT level, mean, 1 / least(greatest(coalesce(CASE
     WHEN n - squares / n - (k - 1) > 0
     THEN (rates - 2 * mean * bad + n * mean * mean - (k - 1) * mean * (1 - mean))
-      / (mean * (1 - mean) * (n - squares / n - (k - 1))) END, 0), 0.01), 0.5) - 1 AS s
+      / (mean * (1 - mean) * (n - squares / n - (k - 1))) END, 0.5), 0.01), 0.5) - 1 AS s,
+    coalesce(n - squares / n - (k - 1) > 0, false) AS fitted
   FROM means
 ),
-rs AS (
-  SELECT suffix, (bad + s * mean) / (n + s) AS rate FROM suffixes, fits WHERE level = 1
-),
 rd AS (
-  SELECT domain, (bad + s * rate) / (n + s) AS rate
-  FROM domains JOIN rs USING (suffix), fits WHERE level = 2
+  SELECT domain, d.n, d.bad, (s.bad - d.bad + f.s * mean) / (s.n - d.n + f.s) AS above
+  FROM domains d JOIN suffixes s USING (suffix), fits f WHERE level = 1
+),
+ro AS (
+  SELECT host, h.n, h.bad, (d.bad - h.bad + s * above) / (d.n - h.n + s) AS above
+  FROM hosts h JOIN rd d USING (domain), fits WHERE level = 2
 ),
 rh AS (
-  SELECT host, n, s, (bad + s * rate) / (n + s) AS rate
-  FROM hosts JOIN rd USING (domain), fits WHERE level = 3
+  SELECT host, n, s, (bad + s * above) / (n + s) AS rate, n > 0 OR fitted AS known
+  FROM ro, fits WHERE level = 3
 )
 SELECT q.page_id, q.host, q.path, ruled.rule,
-  coalesce(ruled.says, CASE WHEN rate - 1.645 * sqrt(rate * (1 - rate) / (n + s + 1)) > 0.5
+  coalesce(ruled.says, CASE WHEN known AND rate - 1.645 * sqrt(rate * (1 - rate) / (n + s + 1)) > 0.5
     THEN 'block' ELSE 'allow' END) AS verdict
-FROM q JOIN rh ON q.host = rh.host LEFT JOIN ruled ON q.page_id = ruled.page_id
+FROM q LEFT JOIN rh ON q.host = rh.host LEFT JOIN ruled ON q.page_id = ruled.page_id
 """)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")

@@ -2,16 +2,19 @@
 
 A host's bad rate has a beta prior whose mean is the posterior mean of its registered
 domain, that one's prior mean is the posterior mean of its suffix, and the suffix' prior
-mean is the overall rate. The strength of each prior is fitted to all labelled hosts,
-domains or suffixes by moments. A host is blocked when the lower bound of its posterior
+mean is the overall rate. A prior leaves out the labels of the group it is for, so that none
+counts twice. The strength of each prior is fitted to all labelled hosts, domains or
+suffixes by moments; where they do not tell it, the weakest is taken, and hosts without a
+label of their own are allowed. A host is blocked when the lower bound of its posterior
 exceeds a limit. Fixed allow and block rules come first.
 
 Suffixes are the rules of a table (column `rule`, with `*.` and `!` as on publicsuffix.org);
 where none fits, the last label is the suffix. User, port and a closing dot do not count for
 domain and suffix, and an address (IPv4 or in brackets) is both whole.
 
-A null url, or one without `://`, has an empty host and path. A page without a label still
-belongs to its host; pages with several labels count once for each; null labels are skipped.
+A null url, or one without `://`, has an empty host and path; labels of such pages count
+for nobody, and only a fixed rule can block them. A page without a label still belongs to
+its host; pages with several labels count once for each; null labels are skipped.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from estrato.workspace import freeze
+
 BOUND_Z = 1.645
 MOST_BAD = 0.5
 
@@ -83,11 +88,11 @@ def with_owner(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
     """Adds suffix and registered domain of a host; one row per host."""
     body = F.regexp_replace("rule", r"^(\*\.|!)", "")
     labels = F.size(F.split("tail", r"\."))
-    rules = suffixes.select("rule", body.alias("tail")).groupBy("tail").agg(
+    rules = freeze(suffixes.select("rule", body.alias("tail")).groupBy("tail").agg(
         F.max(F.when(~F.col("rule").rlike(r"^(\*\.|!)"), labels)).alias("plain"),
         F.max(F.when(F.col("rule").startswith("*."), labels + 1)).alias("wild"),
         F.max(F.when(F.col("rule").startswith("!"), labels - 1)).alias("except"),
-    )
+    ), "suffixes")
     longest = rules.agg(F.max(labels)).first()[0] or 1
     name = F.regexp_replace(F.regexp_replace("host", "^.*@", ""), r":[0-9]*$", "")
     named = hosts.withColumn("name", F.regexp_replace(name, r"\.$", ""))
@@ -96,8 +101,7 @@ def with_owner(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
         "host", size.alias("size"), "name",
         F.explode(F.sequence(F.lit(1), F.least(size, F.lit(longest)))).alias("k"),
     ).withColumn("tail", F.expr("substring_index(name, '.', -k)"))
-    # The rules are bounded: some ten thousand in the whole public list.
-    found = tails.join(F.broadcast(rules), "tail").groupBy("host").agg(
+    found = tails.join(rules, "tail").groupBy("host").agg(
         F.max("except").alias("except"), F.max("plain").alias("plain"),
         F.max(F.when(F.col("wild") <= F.col("size"), F.col("wild"))).alias("wild"),
     ).select(
@@ -114,9 +118,11 @@ def with_owner(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
 
 
 def prior(groups: DataFrame) -> Column:
-    """Struct of the mean and the strength of a beta prior fitted to counts `bad` of `n`.
+    """Struct of the mean and the strength of a beta prior fitted to counts `bad` of `n`, and
+    whether there was enough to fit the strength.
 
-    The strength is kept between 1 and 99 pages: one label alone never decides."""
+    It is kept between 1 and 99 pages, and is 1 where it cannot be fitted: one label alone
+    never decides."""
     sums = groups.filter("n > 0").agg(
         F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.count("*").alias("groups"),
         F.sum(F.col("n") * F.col("n")).alias("squares"),
@@ -128,42 +134,57 @@ def prior(groups: DataFrame) -> Column:
     noise = F.col("mean") * (1 - F.col("mean"))
     free = F.col("n") - F.try_divide("squares", "n") - (F.col("groups") - 1)
     share = F.when(free > 0, (spread - (F.col("groups") - 1) * noise) / (noise * free))
-    share = F.least(F.greatest(F.coalesce(share, F.lit(0.0)), F.lit(0.01)), F.lit(0.5))
+    share = F.least(F.greatest(F.coalesce(share, F.lit(0.5)), F.lit(0.01)), F.lit(0.5))
     fitted = sums.select(
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in sums.columns]
     ).withColumn("mean", mean)
-    fitted = fitted.withColumn("strength", 1 / share - 1)
-    return fitted.select(F.struct("mean", "strength")).scalar()
+    fitted = fitted.withColumns({
+        "strength": 1 / share - 1, "fitted": F.coalesce(free > 0, F.lit(False))
+    })
+    return fitted.select(F.struct("mean", "strength", "fitted")).scalar()
 
 
 def _summed(groups: DataFrame, by: list[str]) -> DataFrame:
     return groups.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
 
-def _rate(mean: Column, strength: Column) -> Column:
-    return (F.col("bad") + strength * mean) / (F.col("n") + strength)
+def _rate(n: Column, bad: Column, mean: Column, strength: Column) -> Column:
+    return (bad + strength * mean) / (n + strength)
 
 
 def reputations(outcomes: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """Bad rate of every host: posterior mean and lower bound, from rows (host, bad), where
-    bad is 1, 0 or null for no label. Without `suffixes`, the public list counts."""
+    bad is 1, 0 or null for no label, and `known`: whether the host has labels or the
+    strength of the prior of hosts is known. Without `suffixes`, the public list counts."""
     public = suffix_table(outcomes.sparkSession) if suffixes is None else suffixes
-    hosts = with_owner(outcomes.groupBy("host").agg(
+    hosts = freeze(with_owner(outcomes.groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
-    ), public)
+    ), public), "hosts")
     domains = _summed(hosts, ["domain", "suffix"])
     suffixes = _summed(domains, ["suffix"])
     top, middle, low = prior(suffixes), prior(domains), prior(hosts)
-    suffixes = suffixes.select(
-        "suffix", _rate(top["mean"], top["strength"]).alias("suffix_rate")
+
+    def others(whole: str) -> list[Column]:
+        """Counts of the larger group without the labels of the group itself."""
+        return [F.col(f"{whole}_{c}") - F.col(c) for c in ("n", "bad")]
+
+    above = suffixes.select(
+        "suffix", F.col("n").alias("suffix_n"), F.col("bad").alias("suffix_bad")
+    )
+    domains = domains.join(above, "suffix").select(
+        "domain", F.col("n").alias("domain_n"), F.col("bad").alias("domain_bad"),
+        _rate(*others("suffix"), top["mean"], top["strength"]).alias("suffix_rate"),
     )
-    domains = domains.join(suffixes, "suffix").select(
-        "domain", _rate(F.col("suffix_rate"), middle["strength"]).alias("domain_rate")
+    rated = hosts.join(domains, "domain").withColumns({
+        "domain_rate": _rate(*others("domain"), F.col("suffix_rate"), middle["strength"]),
+        "weight": low["strength"], "known": (F.col("n") > 0) | low["fitted"],
+    })
+    rated = rated.withColumn(
+        "rate", _rate(F.col("n"), F.col("bad"), F.col("domain_rate"), F.col("weight"))
     )
-    rated = hosts.join(domains, "domain").withColumn("weight", low["strength"])
-    rated = rated.withColumn("rate", _rate(F.col("domain_rate"), F.col("weight")))
     spread = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + F.col("weight") + 1))
-    return rated.select("host", "n", "bad", "rate", (F.col("rate") - BOUND_Z * spread).alias("bound"))
+    bound = (F.col("rate") - BOUND_Z * spread).alias("bound")
+    return rated.select("host", "n", "bad", "rate", bound, "known")
 
 
 def judged(
@@ -175,16 +196,17 @@ def judged(
     `labels` has (page_id, bad). Columns of pages with the names of the added ones go.
     """
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    places = with_place(pages).select(*kept, "host", "path")
-    marked = places.select("page_id", "host").join(
+    # The page's own columns travel in one, so that none can clash with those added here.
+    places = with_place(pages).select(F.struct(*kept).alias("page"), "host", "path")
+    marked = places.filter("host <> ''").select("page.page_id", "host").join(
         labels.select("page_id", "bad"), "page_id", "left"
     )
     bounds = reputations(marked, suffixes).select(
-        F.col("host").alias("rated_host"),
-        F.when(F.col("bound") > most_bad, "block").otherwise("allow").alias("earned"),
+        "host",
+        F.when(F.col("known") & (F.col("bound") > most_bad), "block").otherwise("allow").alias("earned"),
     )
     place, verdict = rule_of(rules)
-    return places.join(bounds, F.col("host") == F.col("rated_host"), "left").select(
-        *kept, "host", "path", place.alias("rule"),
+    return places.join(bounds, "host", "left").select(
+        *[F.col("page")[c].alias(c) for c in kept], "host", "path", place.alias("rule"),
         F.coalesce(verdict, "earned", F.lit("allow")).alias("verdict"),
     )
