@@ -9,6 +9,9 @@ padding, so the only loss is in the pieces themselves. Bins are filled from a bo
 of examples within one input partition: no shuffle, bounded memory, and the same result when
 a partition is computed again.
 
+Which tokens bear loss is an argument: ranges of each text, such as the answers of
+instruction data. Without ranges all do, so that the limits on tokens and loss are alike.
+
 A null text has no tokens but the closing one. Texts of any length are packed whole. Repeated
 rows are packed each. Sequence ids are unique: partition number times 2**33 plus a counter.
 """
@@ -40,17 +43,31 @@ class Limits:
 
 @dataclass
 class Piece:
-    """Tokens start to start + length of an example; all but the first of each piece, which
-    nothing in the sequence predicts, bear loss, where the example bears loss at all."""
+    """Tokens start to start + length of an example. Of those that bear loss in the example,
+    all do here but the first of the piece, which nothing in the sequence predicts. `loss` is
+    True or False for all tokens, or holds how many bear loss before each place."""
 
     example: int
     start: int
     length: int
-    loss: bool = True
+    loss: bool | np.ndarray = True
+
+    def losses(self, length: int) -> int:
+        """Loss tokens of the first `length` tokens of the piece."""
+        if isinstance(self.loss, bool):
+            return max(length - 1, 0) if self.loss else 0
+        return int(self.loss[self.start + length] - self.loss[self.start + min(length, 1)])
 
     @property
     def demand(self) -> tuple[int, int, int]:
-        return self.length, 1, max(self.length - 1, 0) if self.loss else 0
+        return self.length, 1, self.losses(self.length)
+
+    def fitting(self, tokens: int, loss_tokens: int) -> int:
+        """Length of the longest beginning within both limits."""
+        if isinstance(self.loss, bool):
+            return min(tokens, self.length, loss_tokens + 1 if self.loss else tokens)
+        reach = self.loss[self.start : self.start + min(tokens, self.length) + 1]
+        return int(np.searchsorted(reach, reach[min(1, len(reach) - 1)] + loss_tokens, "right")) - 1
 
 
 class Packer:
@@ -61,14 +78,18 @@ class Packer:
         self.waiting: list[Piece] = []
         self.scale = np.array([limits.tokens, limits.segments, limits.loss_tokens], float)
 
-    def take(self, example: int, length: int, loss: bool = True) -> Iterator[list[Piece]]:
-        most = min(self.limits.tokens, self.limits.loss_tokens + 1 if loss else length)
+    def take(
+        self, example: int, length: int, loss: bool | np.ndarray = True
+    ) -> Iterator[list[Piece]]:
         start = 0
-        while length - start >= most:
-            yield from split_even([Piece(example, start, most, loss)], self.limits.tokens)
+        while start < length:
+            rest = Piece(example, start, length - start, loss)
+            most = rest.fitting(self.limits.tokens, self.limits.loss_tokens)
+            if most == rest.length < self.limits.tokens:
+                self.waiting.append(rest)
+            else:
+                yield from split_even([Piece(example, start, most, loss)], self.limits.tokens)
             start += most
-        if start < length:
-            self.waiting.append(Piece(example, start, length - start, loss))
         if len(self.waiting) >= self.window:
             yield from self._fill(self.window // 2)
 
@@ -97,7 +118,7 @@ class Packer:
         if rest and left[0] > 0 and left[1] > 0:
             longest = max(range(len(rest)), key=lambda i: rest[i].length)
             p = rest[longest]
-            n = int(min(left[0], left[2] + 1 if p.loss else left[0], p.length - 1))
+            n = min(p.fitting(int(left[0]), int(left[2])), p.length - 1)
             if n > 0:
                 out.append(Piece(p.example, p.start, n, p.loss))
                 rest[longest] = Piece(p.example, p.start + n, p.length - n, p.loss)
@@ -171,6 +192,33 @@ class WordTokens(dict):
         return b"".join(map(self.__getitem__, text.split(" ")))
 
 
+def loss_reach(tokens: bytes, words: WordTokens, text: str, ranges: list | None) -> np.ndarray:
+    """How many tokens bear loss before each place of `tokens`, the ids of the text and the
+    closing one. A token does if the stretch between blanks it belongs to overlaps one of the
+    ranges (start, end) of code points; the closing one if the end of the text lies in one."""
+    cover = np.zeros(len(text) + 2, np.int64)
+    for span in ranges or []:
+        if span is not None and span[0] is not None and span[1] is not None:
+            low, high = (min(max(at, 0), len(text) + 1) for at in span)
+            if low < high:
+                cover[low] += 1
+                cover[high] -= 1
+    # The closing token stands behind the last character and shares its range.
+    covered = np.concatenate([[0], np.cumsum(np.cumsum(cover)[: len(text)] > 0)])
+    for blank in BLANKS:
+        text = text.replace(blank, " ")
+    marks, at = [np.zeros(1, bool)], 0
+    for word in text.split(" "):
+        bears = covered[at + len(word)] > covered[at]
+        marks.append(np.full(len(words[word]) // 4, bears))
+        at += len(word) + 1
+    last = len(text) > 0 and covered[-1] > covered[-2]
+    marks.append(np.array([last]))
+    reach = np.cumsum(np.concatenate(marks))
+    assert len(reach) == len(tokens) // 4 + 1
+    return reach
+
+
 # Blanks that the tokenizer takes as white space; the ones left out stay inside a stretch.
 BLANKS = "\t\n\v\f\r"
 MARKS = (".", ",")
@@ -197,16 +245,21 @@ def encoder(path: str) -> WordTokens:
 
 
 ADDED = fields(
-    "start long, length long, token_ids binary, doc_tokens long, sequence_id long, offset long"
+    "start long, length long, token_ids binary, doc_tokens long, sequence_id long, offset long, "
+    "loss_tokens long"
 )
 
 
 def pack(
     docs: DataFrame, tokenizer: str, limits: Limits = Limits(), doc_id: str = "doc_id",
-    text: str = "text", carry: tuple[str, ...] = (),
+    text: str = "text", carry: tuple[str, ...] = (), loss: str | None = None,
 ) -> DataFrame:
     """One row per piece: doc_id, the columns in `carry`, place in its document, its token
-    ids (little-endian 32 bits), its sequence and the place there."""
+    ids (little-endian 32 bits), its sequence, the place there and its loss tokens.
+
+    `loss` names a column of arrays of structs of two integers, start and end (exclusive) of
+    the code points whose tokens bear loss; null and empty arrays mean none. Without it all
+    tokens do."""
     keys = [doc_id, *carry]
     schema = T.StructType([docs.schema[c] for c in keys] + ADDED)
     arrow = to_arrow_schema(schema)
@@ -227,7 +280,7 @@ def pack(
                     ids = tokens[p.example][4 * p.start : 4 * (p.start + p.length)]
                     rows.append((
                         *keyed[p.example], p.start, p.length, ids,
-                        len(tokens[p.example]) // 4, sequence, offset,
+                        len(tokens[p.example]) // 4, sequence, offset, p.losses(p.length),
                     ))
                     offset += p.length
                     to_come[p.example] -= p.length
@@ -243,15 +296,22 @@ def pack(
         for batch in batches:
             values = list(zip(*(batch.column(c).to_pylist() for c in keys)))
             texts = [t or "" for t in batch.column(text).to_pylist()]
+            ranges = batch.column(loss).to_pylist() if loss else [None] * len(texts)
             for low in range(0, len(texts), 64):
-                for value, whole in zip(values[low : low + 64], texts[low : low + 64]):
-                    tokens[count] = encoder(tokenizer).encode(whole) + END_ID.to_bytes(4, "little")
+                part = slice(low, low + 64)
+                for value, whole, spans in zip(values[part], texts[part], ranges[part]):
+                    words = encoder(tokenizer)
+                    tokens[count] = words.encode(whole) + END_ID.to_bytes(4, "little")
                     keyed[count] = value
                     to_come[count] = len(tokens[count]) // 4
-                    add(packer.take(count, to_come[count]))
+                    bears = True if loss is None else loss_reach(
+                        tokens[count], words, whole, [s and tuple(s.values()) for s in spans or []]
+                    )
+                    add(packer.take(count, to_come[count], bears))
                     count += 1
                 yield out()
         add(packer.close())
         yield out()
 
-    return arrow_ready(docs.select(*keys, text)).mapInArrow(run, schema)
+    used = list(dict.fromkeys([*keys, text, *([loss] if loss else [])]))
+    return arrow_ready(docs.select(*used)).mapInArrow(run, schema)

@@ -406,6 +406,54 @@ def test_all_limits_hold_at_once(limits):
 # -- decontamination -------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("loss_tokens", [24, 512])
+def test_loss_ranges_close_sequences(spark, loss_tokens):
+    """Prompts bear no loss, answers do; only the loss limit can bind at 24."""
+    from tokenizers import Tokenizer
+
+    tokenizer, docs = Tokenizer.from_file(q.tokenizer_path()), []
+    for i in range(60):
+        prompt, answer = prose(5 + i % 7), prose(3 + i % 11)
+        spans = [(len(prompt) + 1, len(prompt) + 1 + len(answer))]
+        docs.append((i, f"{prompt} {answer}", [spans, None, [], [(0, 4), None, (9, 2)]][i % 4 if i % 5 else 0]))
+    docs += [(60, prose(700), [(100, 3000)]), (61, None, [(0, 9)]), (62, "", [(-5, 5)]),
+             (None, "a b", [(2, 99)]), (None, "a b", [(2, 99)]), (63, "a b", [(None, 3)])]
+    df = spark.createDataFrame(
+        docs, "doc_id long, text string, loss_at array<struct<start: int, end: int>>"
+    ).coalesce(1)
+    limits = packing.Limits(512, 256, loss_tokens)
+    rows = packing.pack(df, q.tokenizer_path(), limits, loss="loss_at").collect()
+
+    def bears(text, spans):
+        """For each token of the text and the closing one, from the tokenizer's offsets."""
+        covered = {c for x in spans or [] if x and None not in x for c in range(*x)}
+        stretches = [(m.start(), m.end()) for m in re.finditer(r"[^ \t-\r]+", text)]
+        hit = [any(c in covered for c in range(*x)) for x in stretches]
+        marks = [
+            next(h for (low, high), h in zip(stretches, hit) if low <= at < high)
+            for at, _ in tokenizer.encode(text, add_special_tokens=False).offsets
+        ]
+        return [*marks, bool(text) and len(text) - 1 in covered]
+
+    expected = {i: bears(t or "", x) for i, t, x in docs}
+    sequences, seen = collections.defaultdict(list), collections.Counter()
+    for r in rows:
+        part = expected[r.doc_id][r.start : r.start + r.length]
+        assert r.loss_tokens == sum(part[1:])
+        sequences[r.sequence_id].append(r)
+        seen[r.doc_id] += r.length
+    assert seen == {i: len(m) * (2 if i is None else 1) for i, m in expected.items()}
+    totals = [(sum(r.length for r in x), sum(r.loss_tokens for r in x)) for x in sequences.values()]
+    assert all(n <= 512 and loss <= loss_tokens for n, loss in totals)
+    full, most = sum(n == 512 for n, _ in totals), max(loss for _, loss in totals)
+    # With 512 the tokens fill sequences; with 24 the loss closes them before.
+    assert full > 2 and most > 24 if loss_tokens == 512 else most == 24
+    least = sum(sum(m[1:]) for m in expected.values()) / loss_tokens
+    assert len(totals) >= least / 2 and sum(loss == 24 and n < 512 for n, loss in totals) > (
+        2 if loss_tokens == 24 else -1
+    )
+
+
 def test_leaks_exact_edited_and_none(spark):
     item = prose(30)
     words = item.split()
@@ -618,6 +666,36 @@ def test_bad_hosts_are_blocked_by_many_labels_not_by_one(spark):
     assert blocked == {"bad.a.com"}
 
 
+@pytest.mark.parametrize("labelled", [1, 2, 3])
+@pytest.mark.parametrize("one_host", [True, False])
+def test_few_labels_do_not_block_strangers(spark, labelled, one_host):
+    """Too few labels to fit a prior: one blocks nothing, more of them their own hosts only."""
+    urls = [f"http://w.s{0 if one_host else i}.com/{i}" for i in range(labelled)]
+    urls += ["http://other.com/", "http://w.other.org/", "no scheme", "", None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = [(i, 1) for i in range(labelled)] + [(len(urls) - 1, 1), (len(urls) - 2, 1)]
+    found = reputation.judged(pages, spark.createDataFrame(labels, "page_id long, bad int"))
+    blocked = {r["page_id"] for r in found.filter("verdict = 'block'").collect()}
+    assert blocked == (set() if labelled == 1 else set(range(labelled)))
+
+
+def test_url_filter_edge_rows(spark):
+    pages = spark.createDataFrame(
+        [(None, None, "a"), (1, "http://a.com/", "b"), (1, "http://a.com/", "b"), (2, "", None)],
+        "page_id long, url string, host string",
+    ).withColumns({"bad": F.lit(3), "known": F.lit("x"), "rate": F.lit(0), "rated_host": F.lit("y")})
+    labels = spark.createDataFrame(
+        [(None, 1), (1, None), (2, 1)], "page_id long, bad int"
+    ).withColumn("url", F.lit("z"))
+    found = reputation.judged(pages, labels)
+    assert [(r["page_id"], r["host"], r["verdict"], r["known"]) for r in found.orderBy("page_id").collect()] == [
+        (None, "", "allow", "x"), (1, "a.com", "allow", "x"), (1, "a.com", "allow", "x"),
+        (2, "", "allow", "x"),
+    ]
+    assert reputation.judged(pages.limit(0), labels).collect() == []
+    assert len(reputation.judged(pages, labels.limit(0)).collect()) == 4
+
+
 # -- all of them -------------------------------------------------------------------------------
 
 OPERATORS = {
