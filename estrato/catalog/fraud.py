@@ -48,10 +48,10 @@ def trailing_history(d: Data) -> DataFrame:
     "< (cast(x.ts as date), hour(x.ts), x.event_id) GROUP BY x.event_id",
 )
 def split_history(d: Data) -> DataFrame:
-    """The same operator with a threshold low enough to split most days and hours."""
+    """The same operator with ranges so small that they split days and hours."""
     events = d["events"].withColumn("day", F.col("ts").cast("date"))
     scored = history_stats(
-        events, "user_id", "day", F.hour("ts"), "event_id", "value", days=7, hot_rows=1
+        events, "user_id", "day", F.hour("ts"), "event_id", "value", days=7, range_rows=50
     )
     return scored.select(
         "event_id", F.col("movimientos_previos").alias("n"),
@@ -59,6 +59,42 @@ def split_history(d: Data) -> DataFrame:
     )
 
 
+_HOT = """
+WITH e AS (
+  SELECT CASE WHEN event_id = low THEN -4000000000000000000 ELSE event_id END AS id, value,
+    CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS who, cast(ts as date) AS day,
+    CASE WHEN event_id % 3 = 0 THEN 0 ELSE hour(ts) END AS hour
+  FROM events, (SELECT min(event_id) AS low FROM events WHERE event_id % 3 = 0)
+)"""
+
+
+@query(
+    "f1_f3_hot_client_history",
+    _HOT + """
+SELECT x.id, count(h.id) AS n, round(stddev_samp(cast(h.value as double)), 6) AS sd
+FROM e x LEFT JOIN e h ON h.who = x.who AND h.day BETWEEN x.day - 5 AND x.day
+  AND (h.day, h.hour, h.id) < (x.day, x.hour, x.id)
+GROUP BY x.id""",
+)
+def hot_client(d: Data) -> DataFrame:
+    """A third of all rows belong to one client, those of a day to one second, and one of
+    their ids lies far from the others."""
+    events, hot = d["events"], F.col("event_id") % 3 == 0
+    lowest = events.filter(hot).agg(F.min("event_id")).scalar()
+    rows = events.select(
+        F.when(F.col("event_id") == lowest, F.lit(-4_000_000_000_000_000_000))
+        .otherwise(F.col("event_id")).alias("id"),
+        F.when(hot, -1).otherwise(F.col("user_id")).alias("who"), "value",
+        F.col("ts").cast("date").alias("day"),
+        F.when(hot, 0).otherwise(F.hour("ts")).alias("hour"),
+    )
+    scored = history_stats(rows, "who", "day", F.col("hour"), "id", "value", days=5, range_rows=500)
+    return scored.select(
+        "id", F.col("movimientos_previos").alias("n"),
+        F.round("desviacion_historica", 6).alias("sd"),
+    )
+
+
 _alert("f1_prior_count", "movimientos_previos")
 
 

@@ -3,30 +3,34 @@
 For a row x the history is every row of the same entity dated at most `days` days earlier
 that comes strictly before x in (day, second, id) order.
 
-The frame is cut in two. The whole days before x's day come from a small stored table with
-one row per (entity, day). The part of x's own day is a running sum over that day. Both
-carry a row count, the sum of the cents and the sum of their squares: exact integers, so
-parts combine by addition, the result does not depend on partitioning, and a history of
-equal amounts has a deviation of exactly 0.
-
-The stored table enters the running sum as opening rows: each day starts with one row that
-holds the totals of the days before it. That takes one shuffle of the data, on
-(entity, day), and no join.
-
-An (entity, day) with more than `hot_rows` rows is split further, by second and, inside a
-crowded second, by id range; each piece gets an opening row of its own. So neither a busy
-entity nor its busy day has to fit into one task. The list of such days has at most
-rows / hot_rows entries, which is what makes it safe to broadcast.
+Rows are cut into ranges of (entity, day, second, id) at splitters drawn from a sample, so
+that neither a busy entity, nor its busiest day or second, has to fit into one task. A piece
+is what one range holds of one (entity, day). A small stored table has one row per piece:
+the totals of the entity's days before it within the window, plus those of the same day's
+pieces before it. The row opens its piece, and a running sum does the rest. That takes one
+shuffle of the data, by range number, and no join.
+
+All parts carry a row count, the sum of the cents and the sum of their squares: exact
+integers, so they combine by addition, the result does not depend on where the cuts are, and
+a history of equal amounts has a deviation of exactly 0. There is one plan for all sizes;
+only the number of ranges differs.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from estrato.workspace import freeze
 
 EXACT = "decimal(38,0)"
 
+# Keys drawn for each range; the share of a range then varies by some 1 / sqrt(KEYS) of it.
+KEYS = 64
+# Rows that are worth a range of their own, as long as there are fewer ranges than tasks.
+LEAST_ROWS = 4096
+HASH_BITS = 40
 
 MOMENTS = ["n", "s1", "s2"]
 
@@ -77,13 +81,14 @@ def history_stats(
     id_col: str,
     amount: str,
     days: int = 30,
-    hot_rows: int = 1_000_000,
+    range_rows: int | None = None,
 ) -> DataFrame:
     """Add count, mean and deviation of the history and the row count of the day.
 
     Entity, day, second, id and amount must not be NULL; seconds are not negative; the id
-    is a unique integer. The input is read twice (more often when days are split), so pass
-    a stored table.
+    is a unique integer. There are as many ranges as the session has shuffle partitions, or
+    one per `range_rows` rows. The input is counted and read three times, so pass a stored
+    table; the first two reads take the columns of the key and the amount only.
     """
     rows = df.withColumns(
         {
@@ -92,96 +97,87 @@ def history_stats(
             "_cents": (F.col(amount).cast("decimal(18,2)") * 100).cast("decimal(19,0)"),
         }
     )
-    # Days before the row's day: at most `days` small rows per frame.
-    trailing = Window.partitionBy(entity).orderBy("_day").rangeBetween(-days, -1)
-    daily = rows.groupBy(entity, "_day").agg(*_moments(F.col("_cents")))
-    past = freeze(daily.withColumns(_sums(trailing, "past_")), "history")
-
-    busy = past.filter(F.col("n") > hot_rows)
-    if busy.isEmpty():
-        piece, body = [entity, "_day"], rows
-        openings = _openings(past, piece, {c: F.col(f"past_{c}") for c in MOMENTS})
-    else:
-        piece = [entity, "_day", "_slot", "_block"]
-        body, openings = _split(rows, past, busy, entity, id_col, hot_rows)
-    return _running(df.columns, body, openings, piece, id_col)
-
-
-def _openings(days: DataFrame, piece: list[str], totals: dict[str, Column]) -> DataFrame:
-    """Rows that come first in their piece and hold what precedes it."""
-    return days.select(
-        *piece,
-        F.lit(-1).alias("_sec"),
-        F.col("n").alias("_in_day"),
-        *[c.alias(f"_{name}") for name, c in totals.items()],
-    )
-
-
-def _split(
-    rows: DataFrame, past: DataFrame, busy: DataFrame, entity: str, id_col: str, hot_rows: int
-) -> tuple[DataFrame, DataFrame]:
-    """Cut busy days into pieces; other days stay one piece each."""
-    hot = F.broadcast(busy.select(entity, "_day", F.lit(True).alias("_hot")))
-    span = F.col("hi").cast("decimal(20,0)") - F.col("lo").cast("decimal(20,0)") + 1
-    pieces = F.ceil(F.col("m") / hot_rows)
-    crowded = freeze(
-        rows.join(hot, [entity, "_day"])
-        .groupBy(entity, "_day", "_sec")
-        .agg(F.count("*").alias("m"), F.min(id_col).alias("lo"), F.max(id_col).alias("hi"))
-        .filter(F.col("m") > hot_rows)
-        .select(entity, "_day", "_sec", "lo",
-                F.ceil(span / pieces).cast("decimal(20,0)").alias("width")),
-        "crowded",
+    total, tasks = df.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = math.ceil(total / range_rows) if range_rows else min(tasks, total // LEAST_ROWS + 1)
+    place = [F.col(c) for c in (entity, "_day", "_sec", id_col)]
+    cuts = splitters(rows, place, ranges, total)
+    ranged = rows.withColumn("_range", range_of(F.struct(*place), cuts))
+    openings = freeze(_openings(ranged, entity, days), "history")
+    return _running(df.columns, ranged, openings, entity, id_col, min(max(ranges, 1), tasks))
+
+
+def splitters(rows: DataFrame, key: list[Column], ranges: int, total: int) -> Column:
+    """The sorted array of keys between ranges of about equal size, as a constant: at most
+    one key a range passes through the driver. The sample is drawn by a hash of the key, so a task that runs again draws the
+    same; it has about KEYS rows a range, whatever the size of the table.
+    """
+    lot = F.xxhash64(*key).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+    share = min(ranges * KEYS / max(total, 1), 1.0) if ranges > 1 else 0.0
+    drawn = rows.filter(lot < F.lit(int(share * (1 << HASH_BITS)))).select(
+        F.struct(*[k.alias(f"k{i}") for i, k in enumerate(key)]).alias("key")
     )
-    offset = F.col(id_col).cast("decimal(20,0)") - F.col("lo").cast("decimal(20,0)")
-    body = (
-        rows.join(hot, [entity, "_day"], "left")
-        .join(F.broadcast(crowded), [entity, "_day", "_sec"], "left")
-        .withColumns(
-            {
-                "_slot": F.when(F.col("_hot"), F.col("_sec")).otherwise(-1),
-                "_block": F.coalesce(F.floor(offset / F.col("width")).cast("bigint"), F.lit(0)),
-            }
-        )
-        .drop("_hot", "lo", "width")
+    sample = F.array_sort(F.collect_list("key"))
+    size = F.size("sample")
+    quantiles = F.transform(
+        F.sequence(F.lit(1), F.lit(max(ranges - 1, 1))),
+        lambda i: F.get("sample", F.floor(i * size / F.lit(max(ranges, 2))).cast("int")),
     )
-    piece = [entity, "_day", "_slot", "_block"]
-    earlier = (
-        Window.partitionBy(entity, "_day")
-        .orderBy("_slot", "_block")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    cuts = drawn.agg(sample.alias("sample")).select(
+        F.when(size > 0, F.array_distinct(quantiles)).otherwise(F.col("sample")).alias("cuts")
     )
-    before = (
-        body.filter(F.col("_slot") >= 0)
-        .groupBy(*piece)
-        .agg(*_moments(F.col("_cents")))
+    return F.from_json(F.lit(cuts.select(F.to_json("cuts")).first()[0]), cuts.schema["cuts"].dataType)
+
+
+def range_of(key: Column, array: Column) -> Column:
+    """Number of keys of the sorted array that are not above the key, by halving."""
+    size = F.size(array)
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(size + 1)).cast("int"))
+
+    def halve(state: Column, _: Column) -> Column:
+        low, high = state["low"], state["high"]
+        middle = F.shiftright(low + high, 1)
+        above = F.get(array, middle) > key
+        return (
+            F.when(low >= high, state)
+            .when(above, F.struct(low.alias("low"), middle.alias("high")))
+            .otherwise(F.struct((middle + 1).alias("low"), high.alias("high")))
+        )
+
+    start = F.struct(F.lit(0).alias("low"), size.alias("high"))
+    return F.aggregate(steps, start, halve, lambda state: state["low"])
+
+
+def _openings(ranged: DataFrame, entity: str, days: int) -> DataFrame:
+    """A row for each piece that comes first in it and holds what precedes it."""
+    pieces = ranged.groupBy("_range", entity, "_day").agg(*_moments(F.col("_cents")))
+    of_entity = Window.partitionBy(entity).orderBy("_day")
+    of_day = Window.partitionBy(entity, "_day")
+    earlier = of_day.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        pieces.withColumns(_sums(of_entity.rangeBetween(-days, -1), "past_"))
         .withColumns(_sums(earlier, "prev_"))
-        .drop(*MOMENTS)
-        .join(busy, [entity, "_day"])
-    )
-    opened = _openings(
-        before, piece, {c: F.col(f"past_{c}") + F.col(f"prev_{c}") for c in MOMENTS}
-    )
-    calm = past.filter(F.col("n") <= hot_rows).withColumns(
-        {"_slot": F.lit(-1), "_block": F.lit(0).cast("bigint")}
+        .withColumn("_in_day", F.sum("n").over(of_day))
+        .select(
+            "_range", entity, "_day", F.lit(-1).alias("_sec"), "_in_day",
+            *[(F.col(f"past_{c}") + F.col(f"prev_{c}")).alias(f"_{c}") for c in MOMENTS],
+        )
     )
-    whole = _openings(calm, piece, {c: F.col(f"past_{c}") for c in MOMENTS})
-    return body, whole.unionByName(opened)
 
 
 def _running(
-    columns: list[str], body: DataFrame, openings: DataFrame, piece: list[str], id_col: str
+    columns: list[str], ranged: DataFrame, openings: DataFrame, entity: str, id_col: str,
+    tasks: int,
 ) -> DataFrame:
-    """Running moments before each row, from the piece's opening row on."""
-    both = body.unionByName(openings, allowMissingColumns=True)
+    """Running moments before each row, from the opening row of its piece on."""
+    both = ranged.unionByName(openings, allowMissingColumns=True)
     own = F.col("_cents").cast(EXACT)
     square = (F.col("_cents") * F.col("_cents")).cast(EXACT)
     before = (
-        Window.partitionBy(*piece)
+        Window.partitionBy("_range", entity, "_day")
         .orderBy("_sec", id_col)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    summed = both.withColumns(
+    summed = both.repartitionById(tasks, F.col("_range")).withColumns(
         {
             "_before_n": F.sum(F.coalesce("_n", F.lit(1).cast("bigint"))).over(before),
             "_before_s1": F.sum(F.coalesce(F.col("_s1").cast(EXACT), own)).over(before),

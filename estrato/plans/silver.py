@@ -222,10 +222,10 @@ def valid_movements(bronze: DataFrame, clients: DataFrame, products: DataFrame)
     return newest(_referenced(whole, clients, products), "id_mov")
 
 
-def movements(valid: DataFrame, days: int = 30, hot_rows: int = 1_000_000) -> DataFrame:
+def movements(valid: DataFrame, days: int = 30, range_rows: int | None = None) -> DataFrame:
     clock = seconds_of_day(F.col("hra_mov"))
     scored = history_stats(
-        valid, "id_cli", "fec_mov", clock, "id_mov", "vr_mov", days=days, hot_rows=hot_rows
+        valid, "id_cli", "fec_mov", clock, "id_mov", "vr_mov", days=days, range_rows=range_rows
     )
     risky = matches(F.col("cod_canal"), *model.RISKY_CHANNELS)
     flagged = fraud_flags(scored, "vr_mov", clock, risky)
