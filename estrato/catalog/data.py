@@ -88,7 +88,9 @@ class Data:
             "dim_productos": lambda: gold.dim_products(s("productos")),
             "dim_geografia": lambda: gold.dim_geography(s("clientes")),
             "dim_canal": lambda: gold.dim_channel(s("movimientos")),
-            "fact_transacciones": lambda: gold.transaction_fact(self.transaction_rows()),
+            "fact_transacciones": lambda: gold.transaction_fact(
+                self.transaction_rows(), s("movimientos")
+            ),
             "fact_cartera": lambda: gold.portfolio_fact(self.portfolio_rows()),
             "fact_rentabilidad_cliente": lambda: gold.profitability(
                 g("dim_clientes"), s("obligaciones"), s("productos"), s("comisiones"),

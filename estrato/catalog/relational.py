@@ -17,7 +17,9 @@ from estrato.functions.text import contains_any, is_blank, matches
 from estrato.operators.history import history_stats
 from estrato.operators.increment import day_parts
 from estrato.operators.keys import dense_key
-from estrato.operators.months import overlap_sums, unpivot_months
+from estrato.operators.months import (
+    monthly_grid, overlap_changes, overlap_sums, unpivot_months,
+)
 from estrato.operators.quality import existing, latest_by, union_all
 from estrato.operators.upsert import Batch, same_row
 from estrato.plans import gold
@@ -214,6 +216,25 @@ def overlap(d: Data) -> DataFrame:
     return long.filter("saldo IS NOT NULL").withColumn("saldo", money(F.col("saldo")))
 
 
+@query(
+    "j8_overlap_long_span",
+    "WITH span AS (SELECT cast(cast(? as date) - to_months(cast(k as int)) as date) AS mes_inicio "
+    "FROM range(300) t(k)) "
+    "SELECT id_cli, mes_inicio, count(*) AS vivos, cast(sum(sdo_capital) as decimal(18,2)) AS saldo "
+    "FROM b_obl JOIN span ON fec_desembolso <= last_day(mes_inicio) AND fec_venc >= mes_inicio "
+    "GROUP BY id_cli, mes_inicio".replace("?", f"'{month_starts(CUTOFF, 1)[0]}'"),
+)
+def long_overlap(d: Data) -> DataFrame:
+    """Over 300 months: two changes per obligation, then the months between changes."""
+    months = month_starts(CUTOFF, 300)
+    changes = overlap_changes(
+        d.bronze("TB_OBLIGACIONES"), "id_cli", "fec_desembolso", "fec_venc",
+        {"saldo": F.col("sdo_capital")},
+    )
+    grid = monthly_grid(changes, months[0], months[-1])
+    return grid.withColumn("saldo", money(F.col("saldo")))
+
+
 @query(
     "j9_history_self_join",
     "SELECT x.o_orderkey, count(h.o_orderkey) AS previos FROM orders x LEFT JOIN orders h "

@@ -22,15 +22,11 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from estrato.operators.ranges import range_count, range_of, splitters
 from estrato.workspace import freeze
 
 EXACT = "decimal(38,0)"
 
-# Keys drawn for each range; the share of a range then varies by some 1 / sqrt(KEYS) of it.
-KEYS = 64
-# Rows that are worth a range of their own, as long as there are fewer ranges than tasks.
-LEAST_ROWS = 4096
-HASH_BITS = 40
 
 MOMENTS = ["n", "s1", "s2"]
 
@@ -98,7 +94,7 @@ def history_stats(
         }
     )
     total, tasks = df.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = math.ceil(total / range_rows) if range_rows else min(tasks, total // LEAST_ROWS + 1)
+    ranges = math.ceil(total / range_rows) if range_rows else range_count(df.sparkSession, total)
     place = [F.col(c) for c in (entity, "_day", "_sec", id_col)]
     cuts = splitters(rows, place, ranges, total)
     ranged = rows.withColumn("_range", range_of(F.struct(*place), cuts))
@@ -106,47 +102,6 @@ def history_stats(
     return _running(df.columns, ranged, openings, entity, id_col, min(max(ranges, 1), tasks))
 
 
-def splitters(rows: DataFrame, key: list[Column], ranges: int, total: int) -> Column:
-    """The sorted array of keys between ranges of about equal size, as a constant: at most
-    one key a range passes through the driver. The sample is drawn by a hash of the key, so a task that runs again draws the
-    same; it has about KEYS rows a range, whatever the size of the table.
-    """
-    lot = F.xxhash64(*key).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
-    share = min(ranges * KEYS / max(total, 1), 1.0) if ranges > 1 else 0.0
-    drawn = rows.filter(lot < F.lit(int(share * (1 << HASH_BITS)))).select(
-        F.struct(*[k.alias(f"k{i}") for i, k in enumerate(key)]).alias("key")
-    )
-    sample = F.array_sort(F.collect_list("key"))
-    size = F.size("sample")
-    quantiles = F.transform(
-        F.sequence(F.lit(1), F.lit(max(ranges - 1, 1))),
-        lambda i: F.get("sample", F.floor(i * size / F.lit(max(ranges, 2))).cast("int")),
-    )
-    cuts = drawn.agg(sample.alias("sample")).select(
-        F.when(size > 0, F.array_distinct(quantiles)).otherwise(F.col("sample")).alias("cuts")
-    )
-    return F.from_json(F.lit(cuts.select(F.to_json("cuts")).first()[0]), cuts.schema["cuts"].dataType)
-
-
-def range_of(key: Column, array: Column) -> Column:
-    """Number of keys of the sorted array that are not above the key, by halving."""
-    size = F.size(array)
-    steps = F.sequence(F.lit(0), F.ceil(F.log2(size + 1)).cast("int"))
-
-    def halve(state: Column, _: Column) -> Column:
-        low, high = state["low"], state["high"]
-        middle = F.shiftright(low + high, 1)
-        above = F.get(array, middle) > key
-        return (
-            F.when(low >= high, state)
-            .when(above, F.struct(low.alias("low"), middle.alias("high")))
-            .otherwise(F.struct((middle + 1).alias("low"), high.alias("high")))
-        )
-
-    start = F.struct(F.lit(0).alias("low"), size.alias("high"))
-    return F.aggregate(steps, start, halve, lambda state: state["low"])
-
-
 def _openings(ranged: DataFrame, entity: str, days: int) -> DataFrame:
     """A row for each piece that comes first in it and holds what precedes it."""
     pieces = ranged.groupBy("_range", entity, "_day").agg(*_moments(F.col("_cents")))

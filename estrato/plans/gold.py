@@ -73,9 +73,11 @@ def transaction_rows(
     )
 
 
-def transaction_fact(rows: DataFrame) -> DataFrame:
-    """Rows numbered by movement; the place key settles the order of fanned-out rows."""
-    return dense_key(rows, ["id_mov", "geografia_key"], "transaccion_key")
+def transaction_fact(rows: DataFrame, movements: DataFrame | None = None) -> DataFrame:
+    """Rows numbered by movement; the place key settles the order of fanned-out rows. With
+    the stored movements the joins that made the rows are evaluated once."""
+    keys = None if movements is None else movements.select("id_mov")
+    return dense_key(rows, ["id_mov", "geografia_key"], "transaccion_key", keys)
 
 
 def regulatory_class(days: Column) -> Column:

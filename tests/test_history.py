@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from estrato.functions.dates import seconds_of_day
-from estrato.operators.history import fraud_flags, history_stats, range_of, splitters
+from estrato.operators.history import fraud_flags, history_stats
+from estrato.operators.ranges import range_of, splitters
 from estrato.workspace import freeze
 
 DDL = "id bigint, who bigint, day date, sec int, v decimal(18,2)"
