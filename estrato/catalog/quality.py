@@ -13,10 +13,12 @@ from estrato.functions.money import monthly_rate
 from estrato.functions.text import (
     blank_to_null, flag, mask_document, mask_name, matches, normalised, or_default, relabel,
 )
+from estrato.operators.observed import null_profile_of, written
 from estrato.operators.quality import (
     conformity, existing, latest_by, null_profile, quarantine, rejects_by_key,
 )
 from estrato.plans import silver
+from estrato.workspace import freeze
 
 _CLI, _OBL, _COM = model.CLIENTS.name, model.OBLIGATIONS.name, model.FEES.name
 
@@ -251,8 +253,27 @@ def profile(d: Data) -> DataFrame:
     )
 
 
-for _name, _view in (("clientes", "s_cli"), ("productos", "s_prod"), ("sucursales", "s_suc"),
-                     ("obligaciones", "s_obl"), ("comisiones", "s_com"), ("incentivos", "s_inc")):
+_SILVER = (("clientes", "s_cli"), ("productos", "s_prod"), ("sucursales", "s_suc"),
+           ("obligaciones", "s_obl"), ("comisiones", "s_com"), ("incentivos", "s_inc"))
+
+
+@query("q20_silver_null_profile", " UNION ALL ".join(
+    f"SELECT '{name}' AS tabla, columna, total_registros, total_registros - n AS registros_nulos, "
+    f"cast(round(100.0 * (total_registros - n) / total_registros, 2) as decimal(10,2)) "
+    f"AS porcentaje_nulos FROM (UNPIVOT (SELECT count(COLUMNS('(.+)')) AS '\\1' FROM {view}) "
+    f"ON COLUMNS(*) INTO NAME columna VALUE n), (SELECT count(*) AS total_registros FROM {view})"
+    for name, view in (*_SILVER, ("movimientos", "s_mov"))
+))
+def silver_profile(d: Data) -> DataFrame:
+    """All seven Silver tables, counted while they are written."""
+    counts = {
+        name: written(d.fresh_silver(name), lambda df, name=name: freeze(df, f"silver-{name}"))[1]
+        for name, _ in (*_SILVER, ("movimientos", "s_mov"))
+    }
+    return null_profile_of(d.spark, counts)
+
+
+for _name, _view in _SILVER:
 
     def _table(d: Data, name=_name) -> DataFrame:
         return d.fresh_silver(name)

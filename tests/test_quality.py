@@ -5,10 +5,12 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from estrato import model
+from estrato.operators.observed import Counts, null_profile_of, written
 from estrato.operators.quality import (
     Rule, classify, conformity, existing, latest_by, null_profile, quarantine, reject_detail,
 )
 from estrato.plans import silver
+from estrato.workspace import freeze
 
 AS_OF = dt.date(2026, 3, 10)
 STAMP = (dt.datetime(2026, 1, 1), "core", "b0")
@@ -137,3 +139,15 @@ def test_movements_need_every_field_and_known_parents(spark):
     kept = silver.movements(silver.valid_movements(bronze, cli, prod))
     got = kept.select("id_mov", "cod_canal", "id_dispositivo", "ind_sospechoso").collect()
     assert [tuple(r) for r in got] == [(1, "NO_INFORMADO", "NO_INFORMADO", 0)]
+
+
+def test_counts_taken_while_writing(spark):
+    some = spark.createDataFrame([(1, None), (None, None), (3, "x")], "`a.b` int, c string")
+    cases = {"t": some, "e": some.limit(0), "n": some.filter("false"), "s": some.repartition("c")}
+    counts = {k: written(df, lambda df, k=k: freeze(df, f"watched-{k}"))[1] for k, df in cases.items()}
+    assert counts["t"] == counts["s"] == Counts(3, {"a.b": 1, "c": 2})
+    assert counts["e"] == counts["n"] == Counts(0, {"a.b": 0, "c": 0})
+    got = {(r.tabla, r.columna): (r.total_registros, r.registros_nulos, r.porcentaje_nulos)
+           for r in null_profile_of(spark, counts).collect()}
+    assert got["t", "c"] == (3, 2, M("66.67")) and got["e", "c"] == (0, 0, None)
+    assert len(got) == 8
