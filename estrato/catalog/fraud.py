@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from estrato.catalog.data import Data
 from estrato.catalog.registry import query
-from estrato.functions.dates import seconds_of_day
+from estrato.functions.dates import micros_of_day, seconds_of_day
 from estrato.operators.history import history_stats
 
 
@@ -139,3 +139,27 @@ def clock_seconds(d: Data) -> DataFrame:
     return d.bronze("TB_MOV_FINANCIEROS").select(
         "id_mov", seconds_of_day(F.col("hra_mov")).alias("segundos")
     )
+
+
+@query(
+    "f6_order_by_full_time",
+    "WITH e AS (SELECT event_id % 50 AS who, 1000000 - event_id AS id, value, "
+    "cast(ts as date) AS day, cast(ts as time) AS at FROM events) "
+    "SELECT x.id, count(h.id) AS n, round(stddev_samp(cast(h.value as double)), 6) AS sd "
+    "FROM e x LEFT JOIN e h ON h.who = x.who AND h.day BETWEEN x.day - 3 AND x.day "
+    "AND (h.day, h.at, h.id) < (x.day, x.at, x.id) GROUP BY x.id",
+)
+def full_time(d: Data) -> DataFrame:
+    """Clocks with fractions of a second as text; ids run against the time."""
+    rows = d["events"].select(
+        (F.col("event_id") % 50).alias("who"), (1_000_000 - F.col("event_id")).alias("id"),
+        F.col("ts").cast("date").alias("day"), "value",
+        F.date_format("ts", "HH:mm:ss.SSSSSS").alias("clock"),
+    )
+    scored = history_stats(
+        rows, "who", "day", micros_of_day(F.col("clock")), "id", "value", days=3
+    )
+    return scored.select(
+        "id", F.col("movimientos_previos").alias("n"),
+        F.round("desviacion_historica", 6).alias("sd"),
+    )

@@ -23,6 +23,14 @@ def seconds_of_day(clock: Column) -> Column:
     return F.when((F.size(parts) == 3) & fits, hour * 3600 + minute * 60 + second)
 
 
+def micros_of_day(clock: Column) -> Column:
+    """`H:m:s.f` text to microseconds, to order by; digits beyond the sixth are dropped, a
+    fraction that is no number counts as none, and a text that is no time of day gives NULL."""
+    digits = F.regexp_extract(F.trim(clock), r"\.([0-9]+)$", 1)
+    fraction = F.rpad(F.substring(digits, 1, 6), 6, "0").cast("bigint")
+    return seconds_of_day(clock).cast("bigint") * 1_000_000 + fraction
+
+
 def month_of(day: Column) -> Column:
     return F.trunc(day, "MM")
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from estrato import model
-from estrato.functions.dates import age_years, seconds_of_day
+from estrato.functions.dates import age_years, micros_of_day, seconds_of_day
 from estrato.functions.money import band, monthly_rate
 from estrato.functions.text import (
     blank_to_null, contains_any, flag, is_blank, mask_document, mask_name, matches, normalised,
@@ -223,9 +223,11 @@ def valid_movements(bronze: DataFrame, clients: DataFrame, products: DataFrame)
 
 
 def movements(valid: DataFrame, days: int = 30, range_rows: int | None = None) -> DataFrame:
-    clock = seconds_of_day(F.col("hra_mov"))
+    """Movements with their history and alerts; the order within a day is by the full time,
+    fractions of a second included, then by id."""
+    time, clock = micros_of_day(F.col("hra_mov")), seconds_of_day(F.col("hra_mov"))
     scored = history_stats(
-        valid, "id_cli", "fec_mov", clock, "id_mov", "vr_mov", days=days, range_rows=range_rows
+        valid, "id_cli", "fec_mov", time, "id_mov", "vr_mov", days=days, range_rows=range_rows
     )
     risky = matches(F.col("cod_canal"), *model.RISKY_CHANNELS)
     flagged = fraud_flags(scored, "vr_mov", clock, risky)

@@ -4,7 +4,9 @@ from decimal import Decimal as M
 import pytest
 from pyspark.sql import functions as F
 
-from estrato.functions.dates import age_years, month_starts, next_month, seconds_of_day
+from estrato.functions.dates import (
+    age_years, micros_of_day, month_starts, next_month, seconds_of_day,
+)
 from estrato.functions.money import convert, monthly_rate, percent
 from estrato.functions.text import (
     blank_to_null, contains_any, mask_document, mask_name, matches, relabel,
@@ -117,3 +119,11 @@ def test_totals_over_a_table_pass_the_width_of_an_amount(spark):
     ddl = "total_transacciones bigint, volumen_transaccional decimal(18,2), cuentas_activas bigint"
     got = regulatory_summary(spark.createDataFrame([row, row], ddl)).first()
     assert got.volumen_total == M("19999999999999999.98")
+
+
+def test_micros_of_day(spark):
+    texts = {"00:00:00": 0, " 1:2:3.5 ": 3723500000, "23:59:59.9999999": 86399999999,
+             "12:00:00.000001": 43200000001, "12:00:00.": 43200000000, "12:00:00.x": 43200000000,
+             "24:00:00.1": None, "": None, None: None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.m for r in df.select("t", micros_of_day(F.col("t")).alias("m")).collect()} == texts
