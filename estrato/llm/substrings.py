@@ -63,14 +63,14 @@ def stretches(texts: Texts) -> Iterator[list[tuple[int, int, np.ndarray]]]:
         yield lot
 
 
-def _least_in_span(keys: np.ndarray) -> np.ndarray:
-    """Minimum of each SPAN consecutive keys, by running minima over blocks."""
-    n = len(keys) - SPAN + 1
-    rest = -len(keys) % SPAN
-    blocks = np.concatenate((keys, np.full(rest, np.uint64(2**64 - 1)))).reshape(-1, SPAN)
+def _least_in_span(keys: np.ndarray, span: int = SPAN) -> np.ndarray:
+    """Minimum of each `span` consecutive keys, by running minima over blocks."""
+    n = len(keys) - span + 1
+    rest = -len(keys) % span
+    blocks = np.concatenate((keys, np.full(rest, np.uint64(2**64 - 1)))).reshape(-1, span)
     ahead = np.minimum.accumulate(blocks, axis=1).ravel()
     back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(back[:n], ahead[SPAN - 1 : SPAN - 1 + n])
+    return np.minimum(back[:n], ahead[span - 1 : span - 1 + n])
 
 
 def anchors_of(parts: list[np.ndarray]) -> tuple[np.ndarray, ...]:

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 import estrato.llm.queries as q
 from estrato.llm import (
-    chat, decontaminate, graph, jaccard, linededup, packing, quality, reputation, secrets,
-    sharding, substrings,
+    chat, decontaminate, graph, jaccard, linededup, packing, passages, quality, reputation,
+    secrets, sharding, substrings,
 )
 
 
@@ -600,6 +600,80 @@ def test_paragraphs_and_rank(spark):
     assert rows(gone.select("doc_id", "start", "first_doc_id")) == [(1, 2, 0), (1, 2, 35)]
 
 
+# -- repeated passages -------------------------------------------------------------------------
+
+
+def brute_passages(docs):
+    """docs: [(doc_id, text)] with distinct ids in order, a null first."""
+    n, first, times, spans = passages.LENGTH, {}, collections.Counter(), {}
+    for d, text in docs:
+        spans[d] = [(m.group().encode().lower(), *m.span())
+                    for m in re.finditer(r"[^\x20\x09-\x0D]+", text or "")]
+    windows = {
+        d: [tuple(w[0] for w in s[i : i + n]) for i in range(len(s) - n + 1)]
+        for d, s in spans.items()
+    }
+    for d, _ in docs:
+        for i, w in enumerate(windows[d]):
+            times[w] += 1
+            first.setdefault(w, (d, i))
+    out = []
+    for d, own in windows.items():
+        for kept in (True, False):
+            runs = []
+            for i, w in enumerate(own):
+                if times[w] > 1 and (first[w] == (d, i)) == kept:
+                    if runs and i <= runs[-1][1]:
+                        runs[-1][1] = i + n
+                    else:
+                        runs.append([i, i + n])
+            out += [(d, spans[d][a][1], spans[d][b - 1][2], b - a, kept) for a, b in runs]
+    return sorted(out, key=str)
+
+
+def found_passages(df):
+    return sorted(rows_of(df.select("doc_id", "start", "end", "words", "kept")), key=str)
+
+
+def test_passages_that_begin_and_end_inside_a_line(spark):
+    body = prose(60).split()
+    docs = [
+        (None, "Où é " + " ".join(body[:55]) + " fin\nété"),
+        (1, "a b c " + "\n".join(body[:51]).upper() + " tail"),  # wrapped otherwise, 51 words
+        (2, "x " + " ".join(body[4:60]) + " y\n\n" + prose(70, 5)),
+        (3, " ".join(body[:50]) + " end"),  # one word less
+        (4, prose(70, 5) + " z"), (5, "one " * 53), (6, None), (7, " \n"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = found_passages(passages.passages(df))
+    assert found == brute_passages(docs)
+    assert {r[0] for r in found} == {None, 1, 2, 4, 5}
+    line_rows = linededup.repeats(df).filter("doc_id in (1, 2, 4)").count()
+    assert line_rows < 3  # lines alone miss them
+
+
+@pytest.mark.parametrize("block", [passages.BLOCK, 64])
+def test_passages_whose_windows_lie_in_several_blocks(spark, documents, block):
+    own = passages.passages(spark.read.parquet(f"{SF}/documents.parquet"), block)
+    assert found_passages(own) == brute_passages(sorted(documents.items()))
+
+
+def test_copies_in_rows_with_one_id(spark):
+    data = [(1, prose(80)), (1, prose(80)), (1, prose(80) + " q"), (None, "a " + prose(90))]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    found = [(r["doc_id"], r["words"], r["kept"]) for r in passages.passages(df).collect()]
+    assert sorted(found, key=str) == [
+        (1, 80, False), (1, 80, False), (1, 80, False), (None, 80, True)
+    ]
+
+
+def test_query_of_lines_has_a_row_for_every_passage(spark, documents):
+    found = q.op9(spark, SF).filter("passage_words > 0")
+    own = found_passages(found.drop("kept").withColumnRenamed("passage_kept", "kept"))
+    assert own == brute_passages(sorted(documents.items()))
+    assert {r["kept"] for r in found.collect()} == {None}
+
+
 # -- chat, quality, reputation -----------------------------------------------------------------
 
 
