@@ -39,7 +39,7 @@ from estrato.llm.bpe import byte_letters, portions
 from estrato.llm.common import arrow_ready, fields
 from estrato.workspace import freeze
 
-MOST_REMEMBERED = 200_000  # stretches; those met once make room for new ones
+MOST_REMEMBERED = 300_000  # stretches; those met once make room for new ones
 MOST_TOKENS = 2_000_000
 PORTION = 1 << 18  # characters whose tokens are looked up at a time
 BLOCK_CHARS = 1 << 20  # a block ends with the row that reaches this many characters
@@ -47,8 +47,9 @@ BLOCK_ROWS = 2048
 SMALL = 256  # links of a group up to which they are listed before they are counted
 PAIR = 1 << 32  # a pair of ids as one number: a * PAIR + b
 
-# Before blanks and line ends that follow something visible, unless nothing visible follows.
-CUT = re.compile(r"(?<=\S)(?=[ \n]\s*\S)")
+# Stretches end before blanks and line ends that follow something visible, unless nothing
+# visible follows. A text of white space only is one.
+STRETCH = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:\s+\Z)?|\s+\Z")
 
 
 class Ragged:
@@ -88,12 +89,52 @@ class Ragged:
         )
 
 
+class Growing:
+    """Numbers end to end with room behind them: adding copies what is new, seldom the rest."""
+
+    def __init__(self, kind: type):
+        self.room, self.size = np.empty(1024, kind), 0
+
+    def add(self, new: np.ndarray) -> None:
+        end = self.size + len(new)
+        if end > len(self.room):
+            room = np.empty(max(end, len(self.room) * 3 // 2), self.room.dtype)
+            room[: self.size] = self.room[: self.size]
+            self.room = room
+        self.room[self.size : end] = new
+        self.size = end
+
+    def all(self) -> np.ndarray:
+        return self.room[: self.size]
+
+
+class Store(Ragged):
+    """Lists to which more are added."""
+
+    def __init__(self, kind: type):
+        self._values, self._lengths, self._starts = map(Growing, (kind, np.int64, np.int64))
+
+    values, lengths, starts = (
+        property(lambda self, name=name: getattr(self, name).all())
+        for name in ("_values", "_lengths", "_starts")
+    )
+
+    def add(self, part: Ragged) -> None:
+        self._starts.add(part.starts + self._values.size)
+        self._lengths.add(part.lengths)
+        self._values.add(part.values)
+
+
 NOTHING = Ragged(np.empty(0, np.int64), np.empty(0, np.int64))
 # What a stretch has: ids of both tokenizers, how many of each make up its groups, and linked
 # pairs with the number of their occurrences (a pair may stand in the list twice).
 PARTS = ("a_ids", "b_ids", "a_sizes", "b_sizes", "pairs", "times")
 
 
+def _stores() -> dict[str, Store]:
+    return {name: Store(np.int64 if name in ("pairs", "times") else np.int32) for name in PARTS}
+
+
 class Aligner:
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -127,7 +168,7 @@ class Aligner:
         self.known: dict[str, int] = {}
         self.uses = np.empty(0, np.int64)
         self.unspelt: set[str] = set()
-        self.parts = dict.fromkeys(PARTS, NOTHING)
+        self.parts = _stores()
 
     def _make_room(self) -> None:
         """Keeps the stretches met more than once, if they are few enough."""
@@ -139,7 +180,10 @@ class Aligner:
         new[rows] = np.arange(len(rows))
         self.known = {s: at for s, at in zip(self.known, new.tolist()) if at >= 0}
         self.unspelt &= self.known.keys()
-        self.uses, self.parts = np.ones(len(rows), np.int64), kept
+        self.uses = np.ones(len(rows), np.int64)
+        self.parts = _stores()
+        for name, part in kept.items():
+            self.parts[name].add(part)
 
     def _b_cuts(self) -> bool:
         """Whether no piece of B holds a line end, or a blank after something else."""
@@ -154,7 +198,7 @@ class Aligner:
         if len(self.known) > MOST_REMEMBERED or len(self.parts["a_ids"].values) > MOST_TOKENS:
             self._make_room()
         cut = [
-            [] if not t else CUT.split(f" {t}") if self.cuts else [f" {t}"] for t in texts
+            [] if not t else STRETCH.findall(f" {t}") if self.cuts else [f" {t}"] for t in texts
         ]
         self._learn(list(set().union(*cut).difference(self.known)))
         if self.unspelt:
@@ -175,20 +219,18 @@ class Aligner:
         if found is None:
             alone, together = stretches, []
         added = [found] if together else []
-        for s in together:
-            self.known[s] = len(self.known)
         for s in alone:
             one = self._read([s])
             if one is None:
                 self.unspelt.add(s)
                 one = {name: Ragged(NOTHING.values, np.zeros(1, np.int64)) for name in PARTS}
-            self.known[s] = len(self.known)
             added.append(one)
+        for s in [*together, *alone]:
+            self.known[s] = len(self.known)
         self.uses = np.append(self.uses, np.zeros(len(stretches), np.int64))
-        self.parts = {
-            name: Ragged.end_to_end([part, *[x[name] for x in added]])
-            for name, part in self.parts.items()
-        }
+        if added:
+            for name, part in self.parts.items():
+                part.add(Ragged.end_to_end([x[name] for x in added]))
 
     def _read(self, stretches: list[str]) -> dict[str, Ragged] | None:
         """The parts of stretches that make up one text; None if its tokens do not spell it."""
@@ -221,20 +263,22 @@ class Aligner:
         ids = np.array(coded.ids, np.int64)
         spans = np.fromiter(chain.from_iterable(coded.offsets), np.int64, 2 * len(ids))
         spans = spans.reshape(-1, 2)
-        letters = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        widths = 1 + sum((letters >= least).astype(np.int64) for least in (0x80, 0x800, 0x10000))
-        coarse = np.concatenate([[0], np.cumsum(widths)])[spans[:, 1]]
+        coarse = spans[:, 1]
+        if not text.isascii():
+            data = np.frombuffer(text.encode(), np.uint8)
+            coarse = np.append(np.flatnonzero(data & 0xC0 != 0x80), len(data))[coarse]
         clean = np.append(spans[1:, 0] >= spans[:-1, 1], True)
         return ids, _refined(coarse, clean, self.a_lengths[ids])
 
     def _b_tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and end bytes. Spans of the proto are in bytes; of the byte pieces of one
-        character only the last has a span. B puts a blank before its text: it is the first
-        of this one, or where that starts with a line end, a piece of its own."""
+        """Ids and end bytes. The spans of B's proto are in bytes; of the byte pieces of one
+        character only the last has a span. They are taken as lists (`offset_mapping`), which
+        costs less than a proto's messages. B puts a blank before its text: it is the first of
+        this one, or where that starts with a line end, a piece of its own."""
         blank = text[0] == " "
-        pieces = self.b.encode(text[blank:], return_type="proto").pieces
-        ids = np.array([p.id for p in pieces], np.int64)
-        ends = np.array([p.end for p in pieces], np.int64)
+        found = self.b.encode(text[blank:].encode(), return_type="offset_mapping")
+        ids = np.array(found["ids"], np.int64)
+        ends = np.array([end for _, end in found["offsets"]], np.int64)
         clean = np.diff(ends, prepend=0) > 0
         if not blank:
             ids, ends, clean = ids[1:], ends[1:], clean[1:]

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -220,6 +221,41 @@ def test_large_groups_are_counted_before_they_are_listed(aligner, monkeypatch):
     aligner._forget()
 
 
+def test_learning_adds_to_what_is_remembered(aligner):
+    """What is known is not copied whenever a stretch is learnt."""
+    aligner._forget()
+    words = scrambled(PARTS, 2500, 14, 11)
+    aligner.align(words[:2000])
+    aligner.align(words[2000:2010])
+    before = {name: part.values for name, part in aligner.parts.items()}
+    expected = [brute_groups(aligner, w) for w in words[2010:2020]]
+    assert groups_of(aligner.align(words[2010:2020])) == expected
+    for name, part in aligner.parts.items():
+        assert len(part.values) > len(before[name])
+        assert np.shares_memory(part.values, before[name])
+
+
+def test_room_is_made_between_blocks(aligner, monkeypatch):
+    monkeypatch.setattr(alignment, "MOST_REMEMBERED", 40)
+    words = scrambled(PARTS, 600, 14, 12)
+    expected = [brute_groups(aligner, w) for w in words]
+    for at in range(0, len(words), 20):
+        own = [*words[at : at + 20], *words[:10]]
+        assert groups_of(aligner.align(own)) == expected[at : at + 20] + expected[:10]
+    aligner._forget()
+
+
+def test_stretches_and_spans(aligner):
+    """Cuts as the pattern between stretches has them; spans as in B's proto."""
+    between = re.compile(r"(?<=\S)(?=[ \n]\s*\S)")
+    for text in scrambled(PARTS, 3000, 14, 13):
+        assert alignment.STRETCH.findall(f" {text}") == between.split(f" {text}")
+        found = aligner.b.encode(text.encode(), return_type="offset_mapping")
+        pieces = aligner.b.encode(text, return_type="proto").pieces
+        assert list(found["ids"]) == [p.id for p in pieces]
+        assert [end for _, end in found["offsets"]] == [p.end for p in pieces]
+
+
 def brute_alignment(aligner, rows):
     """The rows of the contract for (doc_id, text) pairs."""
     groups = [brute_groups(aligner, text) for _, text in rows]
