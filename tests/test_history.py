@@ -160,3 +160,17 @@ def test_no_task_holds_more_than_twice_its_share(spark):
 def test_no_rows(spark):
     df = spark.createDataFrame([], DDL)
     assert history_stats(df, "who", "day", F.col("sec"), "id", "v").collect() == []
+
+
+def test_more_ranges_than_an_integer_squared_holds(spark):
+    """Ranges times the size of the sample leave 32 bits."""
+    base = spark.range(50_000).select(
+        "id", (F.col("id") % 500).alias("who"), F.lit(dt.date(2026, 1, 1)).alias("day"),
+        F.lit("1.00").cast("decimal(18,2)").alias("v"),
+    )
+    df = freeze(base, "many")
+    scored = history_stats(df, "who", "day", F.lit(0), "id", "v", range_rows=1)
+    wrong = F.col("movimientos_previos") != F.floor(F.col("id") / 500)
+    assert scored.agg(F.count("*"), F.count_if(wrong)).first() == (50_000, 0)
+    cuts = splitters(df, [F.col("id")], 50_000, 50_000)
+    assert df.select(F.size(cuts)).first()[0] == 49_999
