@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from estrato.functions.dates import seconds_of_day
+from estrato.operators import history
 from estrato.operators.history import fraud_flags, history_stats
 from estrato.operators.ranges import range_of, splitters
 from estrato.workspace import freeze
@@ -172,5 +173,29 @@ def test_more_ranges_than_an_integer_squared_holds(spark):
     scored = history_stats(df, "who", "day", F.lit(0), "id", "v", range_rows=1)
     wrong = F.col("movimientos_previos") != F.floor(F.col("id") / 500)
     assert scored.agg(F.count("*"), F.count_if(wrong)).first() == (50_000, 0)
-    cuts = splitters(df, [F.col("id")], 50_000, 50_000)
-    assert df.select(F.size(cuts)).first()[0] == 49_999
+    cuts = splitters(freeze(spark.range(400_000), "ids"), [F.col("id")], 6_000, 400_000)
+    assert df.select(F.size(cuts)).first()[0] == 5_999
+
+
+@pytest.mark.parametrize("range_rows", [60, 7, 1])
+def test_hot_client_in_ranges_cut_by_rank(spark, monkeypatch, range_rows):
+    """Few cuts in the plan, so that a client's days and seconds are cut by rank."""
+    monkeypatch.setattr(history, "MOST_CUTS", 3)
+    rng = random.Random(11)
+    data = [
+        (i, 1 if i % 3 == 0 else rng.randrange(2, 6),
+         dt.date(2026, 1, 1) + dt.timedelta(rng.randrange(6)), rng.randrange(2),
+         M(rng.randrange(-500, 100_000)) / 100)
+        for i in [-(2**62), *rng.sample(range(10_000), 300)]
+    ]
+    check(spark, data, 3, range_rows)
+
+
+def test_ranks_take_one_shuffle_of_the_rows_and_no_join(spark, monkeypatch):
+    monkeypatch.setattr(history, "MOST_CUTS", 2)
+    data = [(i, 1, dt.date(2026, 1, 1), 0, M("1.00")) for i in range(20)]
+    df = spark.createDataFrame(data, DDL)
+    scored = history_stats(df, "who", "day", F.col("sec"), "id", "v", range_rows=2)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert "Join" not in plan
