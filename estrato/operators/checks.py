@@ -42,11 +42,15 @@ def key_profile(fact: DataFrame, keys: Sequence[str], flag: Column | None = None
 
 
 def orphans_of(profile: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Fact rows without a dimension row, per key of a `key_profile`; a NULL key counts."""
+    """Fact rows without a dimension row, per key of a `key_profile`; a NULL key counts.
+
+    The joins are merge joins: Spark takes the share of a narrow key column in a compressed file
+    for its size, and would send the keys of a dimension with millions of rows to the driver.
+    """
     parts = []
     for key, dim in dims.items():
         values = profile.filter(F.col("llave") == key).select(key, "n")
-        missing = values.join(dim.select(key), key, "left_anti")
+        missing = values.join(dim.select(key).hint("merge"), key, "left_anti")
         parts.append(
             missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("huerfanos")).select(
                 F.lit(key).alias("llave"), "huerfanos"
@@ -79,7 +83,11 @@ class Check:
 
 
 def run_checks(checks: Sequence[Check], run_id: str, ts: dt.datetime, first_id: int = 1):
-    """Result rows of one run, numbered in list order."""
+    """Result rows of one run, numbered in list order.
+
+    They are stored: a log of runs is read several times, and each reader would otherwise plan
+    and run every check again.
+    """
     parts = []
     for i, c in enumerate(checks):
         seen = c.observed.toDF("x").withColumn("x", F.col("x").cast("bigint"))
@@ -96,7 +104,7 @@ def run_checks(checks: Sequence[Check], run_id: str, ts: dt.datetime, first_id:
                 F.lit(ts).cast("timestamp_ntz").alias("fecha_ejecucion"),
             )
         )
-    return union_all(parts)
+    return freeze(union_all(parts), "results")
 
 
 def latest_run(results: DataFrame) -> DataFrame:

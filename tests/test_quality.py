@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from estrato import model
+from estrato.operators.checks import Check, latest_run, orphans, run_checks
 from estrato.operators.observed import Counts, null_profile_of, written
 from estrato.operators.quality import (
     Rule, classify, conformity, existing, latest_by, null_profile, quarantine, reject_detail,
@@ -151,3 +152,25 @@ def test_counts_taken_while_writing(spark):
            for r in null_profile_of(spark, counts).collect()}
     assert got["t", "c"] == (3, 2, M("66.67")) and got["e", "c"] == (0, 0, None)
     assert len(got) == 8
+
+
+def test_orphans_send_no_dimension_to_the_driver(spark):
+    """A dimension whose key column looks small in its file; a NULL key counts."""
+    fact = spark.createDataFrame([(1, 1), (1, 9), (None, 2), (7, None)], "a bigint, b bigint")
+    dims = {"a": freeze(spark.range(1, 5).withColumnRenamed("id", "a"), "a"),
+            "b": freeze(spark.range(1, 5).withColumnRenamed("id", "b"), "b")}
+    found = orphans(fact, dims)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {r.llave: r.huerfanos for r in found.collect()} == {"a": 2, "b": 2}
+
+
+def test_results_of_checks_are_stored(spark):
+    """The log of two runs is read twice, the checks are not run again for it."""
+    table = freeze(spark.range(3), "checked")
+    check = Check("n", "GOLD", table.agg(F.count("*")), "none", 3)
+    ts = dt.datetime(2026, 1, 1)
+    log = run_checks([check], "z-old", ts, 1).unionByName(run_checks([check], "a-new", ts, 2))
+    assert not any("checked-" in path for path in log.inputFiles())
+    got = [(r.id_ejecucion, r.valor_observado, r.resultado) for r in latest_run(log).collect()]
+    assert got == [("a-new", 3, "PASS")]
